@@ -1,10 +1,11 @@
 """Exact ranks, running totals and quantiles that survive hot groups.
 
-A window puts a whole group into one task. The functions here keep the plain
-window for ordinary groups; groups above ``split_rows`` (and the whole table, when
-there is no group key) are range-partitioned by (key, order), ranked per range and
-shifted by the totals of the ranges before. Only those per-range totals are
-broadcast: at most one row per hot group and range.
+A window puts a whole group into one task. The functions here count the groups
+first (a combined count, no sort) and keep the plain window for those of up to
+``split_rows`` rows. Larger groups - or the whole table, when there is no group key -
+are range-partitioned by (key, order), ranked per range and shifted by the totals of
+the ranges before. Only those per-range totals are broadcast: at most one row per
+hot group and range.
 """
 
 from __future__ import annotations
@@ -62,12 +63,13 @@ def running_total(
     """
     keys, order = list(keys), list(order)
     amount = (F.lit(1) if amount is None else amount).cast("bigint")
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.withColumn(out, F.sum(amount).over(window))
     if not keys:
-        return _range_running_total(df, keys, order, amount, out)
+        return plain if df.count() <= split_rows else _range_running_total(df, keys, order, amount, out)
     hot = df.groupBy(*keys).count().where(F.col("count") > split_rows).drop("count")
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     if hot.isEmpty():
-        return df.withColumn(out, F.sum(amount).over(window))
+        return plain
     # at most rows / split_rows hot keys
     hot = hot.select(*(F.col(k).alias(f"_h_{k}") for k in keys))
     on = _same(df, hot, [(k, f"_h_{k}") for k in keys])
@@ -110,26 +112,30 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, out: str = "rank") ->
     return best.withColumn(out, F.row_number().over(Window.orderBy(*order)))
 
 
-def dense_index(df: DataFrame, order: Sequence[Column], out: str = "index") -> DataFrame:
+def dense_index(
+    df: DataFrame, order: Sequence[Column], out: str = "index", split_rows: int = SPLIT_ROWS
+) -> DataFrame:
     """0-based position in the global order."""
-    ranked = rank_rows(df, [], order, out)
+    ranked = rank_rows(df, [], order, out, split_rows)
     return ranked.withColumn(out, F.col(out) - 1)
 
 
-def cume_dist(df: DataFrame, value: str, out: str) -> DataFrame:
+def cume_dist(df: DataFrame, value: str, out: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Global CUME_DIST with nulls first, from counts per distinct value."""
     counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
-    run = running_total(counts, [], [F.col("_value").asc_nulls_first()], F.col("_n"), "_upto")
+    run = running_total(counts, [], [F.col("_value").asc_nulls_first()], F.col("_n"), "_upto", split_rows)
     total = run.agg(F.max("_upto").alias("_total")).scalar()
     share = run.select("_value", (F.col("_upto") / total).alias(out))
     return df.join(share, df[value].eqNullSafe(share["_value"]), "left").drop("_value")
 
 
-def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:
+def grouped_quantile(
+    df: DataFrame, keys: Sequence[str], value: str, q: float, out: str, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
     """Interpolated quantile of the non-null values per key (one row without keys)."""
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    run = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_upto")
+    run = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_upto", split_rows)
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
         totals = totals.select(*(F.col(k).alias(f"_t_{k}") for k in keys), "_total")

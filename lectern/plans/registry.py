@@ -1,6 +1,13 @@
 """All registered queries and their check SQL."""
 
-from lectern.plans import catalog_queries, graph_queries  # noqa: F401
+from lectern.plans import (  # noqa: F401
+    catalog_queries,
+    content_queries,
+    graph_queries,
+    personal_queries,
+    popularity_queries,
+    vector_queries,
+)
 from lectern.plans.inputs import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
