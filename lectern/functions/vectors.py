@@ -1,13 +1,16 @@
-"""Vector expressions on ``array<float|double>`` columns."""
+"""Vector expressions on ``array<float|double>`` columns.
 
-from __future__ import annotations
+Whole Arrow batches go through NumPy: element-wise lambdas would be interpreted per
+element on the JVM side.
+"""
 
-import math
+from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def _col(value: Column | str) -> Column:
@@ -15,48 +18,69 @@ def _col(value: Column | str) -> Column:
 
 
 def l2_norm(vector) -> Column:
-    squares = F.transform(_col(vector), lambda x: x.cast("double") * x.cast("double"))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
+    return F.sqrt(F.aggregate(_col(vector), F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
 
 
-def is_usable(vector) -> Column:
-    """Non-null, non-zero and finite."""
-    norm = l2_norm(vector)
-    return norm.isNotNull() & ~F.isnan(norm) & (norm > 0) & (norm < F.lit(math.inf))
+def rows_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Non-null, equally long list rows as a float64 matrix, without a Python loop."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    filled = len(column) - column.null_count
+    if filled == 0:
+        return np.zeros((0, 0))
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(filled, -1)
 
 
-def scale(vector, factor) -> Column:
-    factor = factor if isinstance(factor, Column) else F.lit(float(factor))
-    return F.transform(_col(vector), lambda x: x.cast("double") * factor)
+def list_rows(matrix: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """Matrix rows as lists; a row of ``valid`` without a matrix row is null."""
+    width = matrix.shape[1] if len(matrix) else 0
+    offsets = np.r_[0, np.cumsum(valid)].astype(np.int32) * width
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()), mask=pa.array(~valid))
 
 
-def l2_normalize(vector) -> Column:
-    """Unit vector; null for a zero, infinite or missing vector."""
-    vector = _col(vector)
-    return F.when(is_usable(vector), scale(vector, 1 / l2_norm(vector)))
+def unit_rows(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows at unit length, which rows have one): zero and infinite rows do not."""
+    with np.errstate(all="ignore"):
+        norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
+        usable = np.isfinite(norms) & (norms > 0)
+        return matrix / np.where(usable, norms, 1.0)[:, None], usable
 
 
-def l2_normalize_or_zero(vector) -> Column:
-    vector = _col(vector)
-    return F.coalesce(l2_normalize(vector), F.transform(vector, lambda x: F.lit(0.0)))
+@F.arrow_udf(ArrayType(DoubleType()))
+def _unit(vector: pa.Array) -> pa.Array:
+    valid = vector.is_valid().to_numpy(zero_copy_only=False)
+    units, usable = unit_rows(rows_of(vector)) if valid.any() else (np.zeros((0, 0)), np.zeros(0, bool))
+    valid[valid] = usable
+    return list_rows(units[usable], valid)
 
 
-def concat_scaled(left, left_scale: float, right, right_scale: float) -> Column:
-    """L2 of [a * left ; b * right], both sides brought to unit length first."""
-    joined = F.concat(
-        scale(l2_normalize_or_zero(left), left_scale), scale(l2_normalize_or_zero(right), right_scale)
-    )
-    return l2_normalize_or_zero(joined)
+def l2_normalize(vector) -> Column:
+    """Unit vector; null for a zero, infinite or missing vector."""
+    return _unit(_col(vector))
 
 
-def rows_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Equal-length list column as a float64 matrix, without a Python loop."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if len(column) == 0:
-        return np.zeros((0, 0))
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def concat_scaled(left, left_scale: float, right, right_scale: float) -> Column:
+    """L2 of [a * left ; b * right], both sides brought to unit length first.
+
+    A zero side stays zero; a missing side gives null.
+    """
+
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def joined(a: pa.Array, b: pa.Array) -> pa.Array:
+        both = pc.and_(a.is_valid(), b.is_valid())
+        valid = both.to_numpy(zero_copy_only=False)
+        if not valid.any():
+            return pa.nulls(len(valid), pa.list_(pa.float64()))
+        sides = []
+        for column, scale in ((a, left_scale), (b, right_scale)):
+            units, usable = unit_rows(rows_of(column.filter(both)))
+            sides.append(np.where(usable[:, None], units, 0.0) * scale)
+        whole = np.hstack(sides)
+        units, usable = unit_rows(whole)
+        return list_rows(np.where(usable[:, None], units, 0.0), valid)
+
+    return joined(_col(left), _col(right))
 
 
 @F.arrow_udf(DoubleType())

@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 
 from lectern.functions.scoring import bayesian_rating, novelty_score
 from lectern.functions.text import blank_to_null, has_usable_description, title_key
-from lectern.operators.ranking import SPLIT_ROWS, grouped_quantile, rank_rows
+from lectern.operators.ranking import SPLIT_ROWS, counted_quantile, rank_rows, value_counts
 
 AUTHORS_TYPE = ArrayType(
     StructType([StructField("author_id", StringType()), StructField("role", StringType())])
@@ -117,10 +117,17 @@ def scoring_parameters(books: DataFrame, quantile: float = 0.90) -> DataFrame:
         F.col("average_rating").try_cast("double").alias("rating"),
         F.col("ratings_count").try_cast("double").alias("votes"),
     ).where(F.col("rating").between(0, 5) & (F.col("votes") > 0))
-    votes = grouped_quantile(rated, [], "votes", quantile, "votes")
-    return rated.agg(F.coalesce(F.avg("rating"), F.lit(0.0)).alias("global_mean_rating")).withColumn(
-        "minimum_votes", F.greatest(F.coalesce(votes.scalar(), F.lit(1.0)), F.lit(1.0))
-    )
+    counts = value_counts(rated, [], "votes", F.sum("rating").alias("_ratings"))
+    votes = counted_quantile(counts, [], "votes", quantile, "votes").first()
+    minimum = max((votes["votes"] if votes else None) or 1.0, 1.0)
+    mean = F.coalesce(F.try_divide(F.sum("_ratings"), F.sum("_n")), F.lit(0.0))
+    return counts.agg(mean.alias("global_mean_rating")).withColumn("minimum_votes", F.lit(minimum))
+
+
+def scoring_literals(books: DataFrame, quantile: float = 0.90) -> tuple[float, float]:
+    """The two scoring numbers, for use in expressions."""
+    row = scoring_parameters(books, quantile).first()
+    return row["global_mean_rating"], row["minimum_votes"]
 
 
 def base_books(books: DataFrame) -> DataFrame:
@@ -173,9 +180,7 @@ def catalog_star_join(
     )
 
 
-def derived_columns(catalog: DataFrame, parameters: DataFrame, minimum_description: int = 40) -> DataFrame:
-    mean = parameters.select("global_mean_rating").scalar()
-    votes = parameters.select("minimum_votes").scalar()
+def derived_columns(catalog: DataFrame, mean: float, votes: float, minimum_description: int = 40) -> DataFrame:
     return catalog.withColumns(
         {
             "bayesian_rating": bayesian_rating("average_rating", "ratings_count", mean, votes),
@@ -203,4 +208,4 @@ def build_catalog(
         works,
         edition_rank(books),
     )
-    return derived_columns(joined, scoring_parameters(books, quantile))
+    return derived_columns(joined, *scoring_literals(books, quantile))

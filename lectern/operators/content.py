@@ -58,16 +58,14 @@ def allocate_sample(counts: DataFrame, key: str, requested: int) -> DataFrame:
     ``counts`` holds one row per stratum (key, rows); strata are ranked exactly and
     in parallel, however many there are.
     """
-    total = counts.agg(F.sum("rows")).scalar()
-    share = F.lit(requested) * F.col("rows") / total
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    share = F.lit(requested) * F.col("rows") / F.lit(total)
     parts = counts.withColumn("_share", share).withColumn("_base", F.floor("_share").cast("bigint"))
-    spare = F.lit(requested) - parts.agg(F.sum("_base")).scalar()
+    spare = requested - (parts.agg(F.sum("_base")).first()[0] or 0)
     ranked = rank_rows(parts, [], [(F.col("_share") - F.col("_base")).desc(), F.col(key).asc()], "_order")
     drawn = F.col("_base") + F.when(F.col("_order") <= spare, 1).otherwise(0)
-    whole = F.lit(requested) >= total
-    return ranked.select(
-        key, "rows", F.when(whole, F.col("rows")).otherwise(F.least(drawn, F.col("rows"))).alias("sample_rows")
-    )
+    rows = F.col("rows") if requested >= total else F.least(drawn, F.col("rows"))
+    return ranked.select(key, "rows", rows.alias("sample_rows"))
 
 
 def stratified_sample(df: DataFrame, key: str, row_id: str, requested: int, seed: int = 42) -> DataFrame:
@@ -148,12 +146,11 @@ def tfidf_transform(model: TfidfModel, documents: DataFrame, key: str = "book_id
     return tfidf_weights(document_terms(documents, model.ngram_max, key=key), model.vocabulary, key)
 
 
-def matrix_density(weights: DataFrame, rows: int | DataFrame, columns: int | DataFrame) -> DataFrame:
-    """Non-zero cells and their share of rows x columns (both counts or tables)."""
-    size = lambda x: F.lit(x) if isinstance(x, int) else x.agg(F.count("*")).scalar()
+def matrix_density(weights: DataFrame, rows: int, columns: int) -> DataFrame:
+    """Non-zero cells and their share of rows x columns."""
     return weights.agg(F.count("*").alias("nonzero_values")).select(
         "nonzero_values",
-        size(rows).cast("bigint").alias("rows"),
-        size(columns).cast("bigint").alias("columns"),
-        (F.col("nonzero_values") / (size(rows) * F.greatest(size(columns), F.lit(1)))).alias("density"),
+        F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(columns).cast("bigint").alias("columns"),
+        (F.col("nonzero_values") / F.lit(max(rows * columns, 1))).alias("density"),
     )

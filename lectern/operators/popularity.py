@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.functions.scoring import bayesian_rating, wilson_lower_bound
-from lectern.operators.catalog import scoring_parameters
+from lectern.operators.catalog import scoring_literals
 from lectern.operators.ranking import cume_dist, grouped_quantile, top_k, top_n
 
 SCORED_COLUMNS = (
@@ -31,9 +31,7 @@ def score_books(
     catalog: DataFrame, items: DataFrame, confidence: float = 0.95, quantile: float = 0.90
 ) -> DataFrame:
     """Bayesian and Wilson scores of every canonical edition."""
-    parameters = scoring_parameters(catalog, quantile)
-    mean = parameters.select("global_mean_rating").scalar()
-    votes = parameters.select("minimum_votes").scalar()
+    mean, votes = scoring_literals(catalog, quantile)
     joined = scored_books_join(catalog, items)
     kept = [c for c in SCORED_COLUMNS if c in joined.columns]
     return joined.select(

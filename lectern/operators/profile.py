@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.functions.scoring import recency_decay, shares
-from lectern.functions.vectors import concat_scaled, l2_norm
+from lectern.functions.vectors import concat_scaled
 from lectern.operators.ranking import top_k
 from lectern.operators.similarity import embedding_gather, weighted_vector_sum
 
@@ -49,27 +49,24 @@ def profile_sources(rows: DataFrame, vectors: DataFrame, space: str) -> DataFram
     )
 
 
-def space_profile(rows: DataFrame, vectors: DataFrame, dimensions: int) -> DataFrame:
-    """Weighted mean vector per user in one embedding space; zero vectors drop out."""
+def space_profile(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Weighted mean direction per user in one embedding space."""
     keyed = vectors.select(F.col("book_id").alias("local_book_id"), "vector")
     with_vectors = embedding_gather(rows.select("user_id", "local_book_id", "effective_weight"), keyed, "local_book_id")
-    profile = weighted_vector_sum(with_vectors, "user_id", "effective_weight", "vector", dimensions)
-    return profile.where(l2_norm("vector") > 0)
+    return weighted_vector_sum(with_vectors, "user_id", "effective_weight", "vector")
 
 
 def user_profile(
     rows: DataFrame,
     content: DataFrame,
     collaborative: DataFrame,
-    content_dimensions: int,
-    collaborative_dimensions: int,
     content_weight: float = 0.5,
     collaborative_weight: float = 0.5,
 ) -> DataFrame:
     """Content, collaborative and hybrid vector per user that has both."""
     share = shares({"content": content_weight, "collaborative": collaborative_weight})
-    left = space_profile(rows, content, content_dimensions).select("user_id", F.col("vector").alias("content_vector"))
-    right = space_profile(rows, collaborative, collaborative_dimensions).select(
+    left = space_profile(rows, content).select("user_id", F.col("vector").alias("content_vector"))
+    right = space_profile(rows, collaborative).select(
         "user_id", F.col("vector").alias("collaborative_vector")
     )
     vector = concat_scaled("content_vector", share["content"], "collaborative_vector", share["collaborative"])

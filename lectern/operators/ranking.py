@@ -122,26 +122,31 @@ def dense_index(
 
 def cume_dist(df: DataFrame, value: str, out: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Global CUME_DIST with nulls first, from counts per distinct value."""
-    counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    counts = cut_lineage(df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n")))
     run = running_total(counts, [], [F.col("_value").asc_nulls_first()], F.col("_n"), "_upto", split_rows)
-    total = run.agg(F.max("_upto").alias("_total")).scalar()
-    share = run.select("_value", (F.col("_upto") / total).alias(out))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    share = run.select("_value", (F.col("_upto") / F.lit(total)).alias(out))
     return df.join(share, df[value].eqNullSafe(share["_value"]), "left").drop("_value")
 
 
-def grouped_quantile(
-    df: DataFrame, keys: Sequence[str], value: str, q: float, out: str, split_rows: int = SPLIT_ROWS
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, *extra: Column) -> DataFrame:
+    """Rows (and extra aggregates) per key and distinct value, read from the source once."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"), *extra)
+    return cut_lineage(counted)
+
+
+def counted_quantile(
+    counts: DataFrame, keys: Sequence[str], value: str, q: float, out: str, split_rows: int = SPLIT_ROWS
 ) -> DataFrame:
-    """Interpolated quantile of the non-null values per key (one row without keys)."""
+    """Interpolated quantile per key of a ``value_counts`` table."""
     keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     run = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_upto", split_rows)
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
+        totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
         totals = totals.select(*(F.col(k).alias(f"_t_{k}") for k in keys), "_total")
         run = run.join(totals, _same(run, totals, [(k, f"_t_{k}") for k in keys]))
     else:
-        run = run.withColumn("_total", totals.scalar())
+        run = run.withColumn("_total", F.lit(counts.agg(F.sum("_n")).first()[0] or 0))
     position = F.lit(q) * (F.col("_total") - 1)
     reached = lambda p: F.min(F.when(F.col("_upto") > p, F.col(value)))
     bounds = run.groupBy(*keys).agg(
@@ -150,3 +155,10 @@ def grouped_quantile(
         F.max(position - F.floor(position)).alias("_part"),
     )
     return bounds.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(out))
+
+
+def grouped_quantile(
+    df: DataFrame, keys: Sequence[str], value: str, q: float, out: str, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
+    """Interpolated quantile of the non-null values per key (one row without keys)."""
+    return counted_quantile(value_counts(df, keys, value), keys, value, q, out, split_rows)

@@ -6,10 +6,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.functions.scoring import shares
-from lectern.functions.vectors import concat_scaled, is_usable, l2_norm, l2_normalize, rows_of
+from lectern.functions.vectors import concat_scaled, l2_norm, l2_normalize, rows_of
 from lectern.operators.ranking import dense_index, top_k
 
 ITEM_BLOCK = 20_000
@@ -79,12 +81,10 @@ def knn_topk(
     matrix product that keeps k rows per query, and the kept rows are merged per
     query. Zero, infinite and missing vectors take no part.
     """
-    left = queries.where(is_usable(vector)).select(
-        F.col(by).alias("query"), l2_normalize(vector).alias("vector")
-    )
-    right = items.where(is_usable(vector)).select(
-        F.col(item_id).alias("item"), l2_normalize(vector).alias("vector")
+    unit = lambda df, key, name: df.select(F.col(key).alias(name), l2_normalize(vector).alias("vector")).where(
+        F.col("vector").isNotNull()
     )
+    left, right = unit(queries, by, "query"), unit(items, item_id, "item")
     item_blocks = _blocks(items.count(), item_block)
     # small inputs still use every core
     cores = queries.sparkSession.sparkContext.defaultParallelism
@@ -129,24 +129,27 @@ def vector_norms(vectors: DataFrame, key: str, vector: str = "vector") -> DataFr
     return vectors.select(key, l2_norm(vector).alias("norm"))
 
 
-def weighted_vector_sum(
-    rows: DataFrame, by: str, weight: str, vector: str, dimensions: int, out: str = "vector"
-) -> DataFrame:
+def weighted_vector_sum(rows: DataFrame, by: str, weight: str, vector: str, out: str = "vector") -> DataFrame:
     """Per key: sum(w * v) / sum(|w|), brought to unit length.
 
-    One sum per dimension, combined before the shuffle, so a key with very many rows
-    is never gathered. Keys whose absolute weights add up to 0 give no row.
+    The vector sums combine before the shuffle, so a key with very many rows is never
+    gathered. Non-finite vectors stay out; keys whose absolute weights add up to 0 or
+    whose mean is zero give no row.
     """
-    usable = rows.where(F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    sums = usable.groupBy(by).agg(
-        F.sum(F.abs(weight)).alias("_total"),
-        F.count("*").alias("source_rows"),
-        *(F.sum(F.col(weight) * F.col(vector)[j].cast("double")).alias(f"_d{j}") for j in range(dimensions)),
-    )
-    mean = F.array(*(F.col(f"_d{j}") / F.col("_total") for j in range(dimensions)))
-    return sums.where(F.col("_total") > 0).select(by, mean.alias("_mean"), "source_rows").select(
-        by, F.coalesce(l2_normalize("_mean"), F.col("_mean")).alias(out), "source_rows"
+    usable = rows.where(F.forall(F.col(vector), lambda x: F.abs(x.cast("double")) < float("inf")))
+    scaled = F.transform(F.col(vector), lambda x: x.cast("double") * F.col(weight))
+    sums = (
+        usable.select(by, F.abs(weight).alias("_weight"), array_to_vector(scaled).alias("_scaled"))
+        .groupBy(by)
+        .agg(
+            F.sum("_weight").alias("_total"),
+            F.count("*").alias("source_rows"),
+            Summarizer.sum(F.col("_scaled")).alias("_sum"),
+        )
     )
+    # dividing by the total does not change the direction
+    units = sums.where(F.col("_total") > 0).select(by, l2_normalize(vector_to_array("_sum")).alias(out), "source_rows")
+    return units.where(F.col(out).isNotNull())
 
 
 def embedding_gather(df: DataFrame, vectors: DataFrame, on: str, vector: str = "vector", out: str = "vector") -> DataFrame:

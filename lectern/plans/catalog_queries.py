@@ -55,7 +55,7 @@ def catalog(inp: Inputs):
         {"is_canonical_edition": F.col("edition_rank") == 1, "title_without_series": F.lit(None).cast("string"),
          "description": F.lit(None).cast("string")}
     )
-    return ops.derived_columns(ranked, ops.scoring_parameters(books)).drop("title_without_series")
+    return ops.derived_columns(ranked, *ops.scoring_literals(books)).drop("title_without_series")
 
 
 def nested_books(inp: Inputs):

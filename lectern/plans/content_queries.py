@@ -95,7 +95,7 @@ def tfidf(inp):
 def matrix_density(inp):
     docs = documents(inp)
     fitted = model(inp, docs)
-    return rounded(ops.matrix_density(ops.tfidf_transform(fitted, docs), docs, fitted.vocabulary), "density")
+    return rounded(ops.matrix_density(ops.tfidf_transform(fitted, docs), fitted.documents, fitted.vocabulary.count()), "density")
 
 
 @query(

@@ -76,7 +76,7 @@ def profile(inp: Inputs):
 
 
 def profiles(inp: Inputs):
-    return prof.user_profile(profile(inp), content_space(inp), factor_space(inp), DIMENSIONS, FACTORS)
+    return prof.user_profile(profile(inp), content_space(inp), factor_space(inp))
 
 
 def exclusions(inp: Inputs):

@@ -125,7 +125,7 @@ def library_rows(inp: Inputs):
 def weighted_vector_sum(inp):
     rows = library_rows(inp).select("user_id", F.col("local_book_id").alias("book_id"), "preference_weight")
     gathered = ops.embedding_gather(rows, content_space(inp), "book_id")
-    return _rounded_vector(ops.weighted_vector_sum(gathered, "user_id", "preference_weight", "vector", DIMENSIONS))
+    return _rounded_vector(ops.weighted_vector_sum(gathered, "user_id", "preference_weight", "vector"))
 
 
 @query(
