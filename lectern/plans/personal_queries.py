@@ -454,11 +454,8 @@ TEXT_SQL = {**PERSONAL_SQL, "cited": _BEST}
 
 
 def with_best_evidence(inp: Inputs):
-    recs = recommended(inp)
-    best = ex.evidence_select(
-        ex.evidence_candidates(recs, pool(inp), content_space(inp)), evidence=1, max_uses=0, diversity_bonus=0.0,
-        max_recommendations=TOP,
-    )
+    recs = recommended(inp).persist()
+    best = ex.best_evidence(ex.evidence_candidates(recs, pool(inp), content_space(inp)))
     return ex.evidence_summary(recs, best)
 
 

@@ -4,6 +4,7 @@ from lectern.plans import (  # noqa: F401
     catalog_queries,
     content_queries,
     graph_queries,
+    matching_queries,
     personal_queries,
     popularity_queries,
     vector_queries,
