@@ -194,10 +194,14 @@ def local_match(
 
 
 def canonical_edition(matches: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Moves a match to its work's canonical edition, which is the one with vectors."""
-    works = catalog.where(F.col("work_id").isNotNull()).select("book_id", "work_id")
-    canonical = catalog.where(F.col("is_canonical_edition") & F.col("work_id").isNotNull())
-    moved = works.join(canonical.select(F.col("book_id").alias("_canonical"), "work_id"), "work_id").drop("work_id")
+    """Moves a match to its work's canonical edition, which is the one with vectors.
+
+    Where a catalog marks several editions of a work, the most popular one counts.
+    """
+    in_work = catalog.where(F.col("work_id").isNotNull())
+    canonical = top_k(in_work.where(F.col("is_canonical_edition")), ["work_id"], popularity_order(), 1, "_rank")
+    others = in_work.where(~F.coalesce("is_canonical_edition", F.lit(False))).select("book_id", "work_id")
+    moved = others.join(canonical.select(F.col("book_id").alias("_canonical"), "work_id"), "work_id").drop("work_id")
     target = F.coalesce("_canonical", "book_id")
     return matches.join(moved, "book_id", "left").withColumn("book_id", target).drop("_canonical")
 

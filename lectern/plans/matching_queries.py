@@ -9,7 +9,7 @@ from lectern.operators import enrichment as enr, library as lib, matching as ops
 from lectern.plans.content_queries import embedded
 from lectern.plans.inputs import Inputs, big, query
 
-LIMIT = 25
+LIMIT = 250
 _FOLD = "TRIM(REGEXP_REPLACE(REPLACE(LOWER(strip_accents(COALESCE({0}, ''))), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
 _WORDS = "list_filter(string_split({0}, ' '), lambda t: LENGTH(t) >= 3)[1:{1}]"
 
@@ -48,6 +48,7 @@ def editions(inp: Inputs):
         "is_canonical_edition", key.alias("isbn"),
         F.when(F.col("book_id") % 3 == 0, F.concat(F.lit("978"), key)).alias("isbn13"), "publication_year", "description",
         (length % 97).cast("bigint").alias("ratings_count"), (length % 7).cast("double").alias("bayesian_rating"),
+        F.lit(None).cast("string").alias("image_url"),
     )
 
 
@@ -71,8 +72,8 @@ def asked(inp: Inputs):
 
 
 def landed(inp: Inputs):
-    """Search responses as JSON text: two volumes per input that has an even id."""
-    docs = inp.view("documents_v").where(F.col("book_id") % 2 == 0)
+    """Search responses as JSON text: two volumes per input."""
+    docs = inp.view("documents_v")
     key = F.lpad(F.col("book_id").cast("string"), 10, "0")
     identifier = lambda kind, value: F.struct(F.lit(kind).alias("type"), value.alias("identifier"))
     info = lambda title: F.struct(
@@ -168,7 +169,7 @@ def enriched_match(inp):
     "cold_start_text",
     """SELECT book_id AS input_id, TRIM(concat_ws(' ', NULLIF(title, ''), NULLIF(title, ''), NULLIF(title, ''), NULLIF(primary_author, ''),
     NULLIF(primary_author, ''), NULLIF(primary_genre, ''), NULLIF(primary_genre, ''), NULLIF(description, ''), 'language_' || language_code)) AS cold_start_content_text
-    FROM documents_v WHERE book_id % 2 = 0""",
+    FROM documents_v""",
 )
 def cold_start_text(inp):
     offered = enr.parse_volumes(landed(inp)).where(F.col("position") == 1)
@@ -297,7 +298,7 @@ def parse_year(inp):
     '99' || LPAD(CAST(book_id AS VARCHAR), 10, '0') AS isbn10, CAST(NULL AS VARCHAR) AS isbn13,
     '{"ISSN":"' || LPAD(CAST(book_id AS VARCHAR), 10, '0') || '"}' AS other_identifiers, CAST(LENGTH(description) % 500 AS BIGINT) AS page_count,
     'https://covers/' || LPAD(CAST(book_id AS VARCHAR), 10, '0') AS thumbnail_url, description
-    FROM documents_v, (SELECT CAST(UNNEST([0, 1]) AS INT) AS position) WHERE book_id % 2 = 0""",
+    FROM documents_v, (SELECT CAST(UNNEST([0, 1]) AS INT) AS position)""",
 )
 def volume_flatten(inp):
     return enr.volume_flatten(landed(inp)).select(

@@ -7,6 +7,7 @@ from lectern.plans import (  # noqa: F401
     matching_queries,
     personal_queries,
     popularity_queries,
+    source_queries,
     vector_queries,
 )
 from lectern.plans.inputs import CHECKS, QUERIES
