@@ -34,7 +34,9 @@ def rows_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def list_rows(matrix: np.ndarray, valid: np.ndarray) -> pa.Array:
     """Matrix rows as lists; a row of ``valid`` without a matrix row is null."""
-    width = matrix.shape[1] if len(matrix) else 0
+    if not valid.any():
+        return pa.nulls(len(valid), pa.list_(pa.float64()))
+    width = matrix.shape[1]
     offsets = np.r_[0, np.cumsum(valid)].astype(np.int32) * width
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()), mask=pa.array(~valid))
 

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from lectern.functions.text import ngrams, tokenize
 from lectern.operators.ranking import rank_rows, top_n
+from lectern.session import cut_lineage
 
 
 def content_docs_join(catalog: DataFrame, items: DataFrame) -> DataFrame:
@@ -77,9 +78,20 @@ def stratified_sample(df: DataFrame, key: str, row_id: str, requested: int, seed
 
 
 def document_terms(documents: DataFrame, ngram_max: int = 2, text: str = "content_text", key: str = "book_id") -> DataFrame:
-    """(document, term, tf); a document's own terms combine before the shuffle."""
-    terms = documents.select(key, tokenize(text).alias("_tokens")).select(key, ngrams("_tokens", ngram_max).alias("_t"))
-    return terms.select(key, F.explode("_t").alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(document, term, tf).
+
+    The texts are placed by document first: that moves each text once, where the
+    exploded terms would be a multiple of it, and everything per document after it
+    (counts, lengths, packed rows) needs no further exchange. The partition count is
+    fixed: sized by the texts alone, the planner would merge too many of them.
+    """
+    spark = documents.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    placed = documents.select(key, text).repartition(tasks, key)
+    terms = placed.select(key, tokenize(text).alias("_tokens")).select(key, ngrams("_tokens", ngram_max).alias("_t"))
+    # explode would add a filter on the array's size that tokenizes every text again
+    listed = terms.select(key, F.explode_outer("_t").alias("term")).where(F.col("term").isNotNull())
+    return listed.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
@@ -126,10 +138,27 @@ def tfidf_fit(
     key: str = "book_id",
 ) -> TfidfModel:
     fitted = fit_sample(documents, sample, key)
-    count = fitted.count()
-    stats = term_stats(document_terms(fitted, ngram_max, key=key))
-    chosen = vocabulary(stats, count, max_features, min_df, max_df).persist()
-    return TfidfModel(chosen, count, ngram_max, max_features)
+    return _fit(document_terms(fitted, ngram_max, key=key), fitted.count(), max_features, min_df, max_df, ngram_max)
+
+
+def _fit(terms: DataFrame, documents: int, max_features: int, min_df: int, max_df: float, ngram_max: int) -> TfidfModel:
+    chosen = cut_lineage(vocabulary(term_stats(terms), documents, max_features, min_df, max_df))
+    return TfidfModel(chosen, documents, ngram_max, max_features)
+
+
+def tfidf_fit_transform(
+    documents: DataFrame,
+    max_features: int = 100_000,
+    min_df: int = 5,
+    max_df: float = 0.98,
+    ngram_max: int = 2,
+    key: str = "book_id",
+) -> tuple[TfidfModel, DataFrame]:
+    """Fit on all documents and weigh them; every text is tokenized once."""
+    fitted = fit_sample(documents, "all", key)
+    terms = cut_lineage(document_terms(fitted, ngram_max, key=key))
+    model = _fit(terms, fitted.count(), max_features, min_df, max_df, ngram_max)
+    return model, tfidf_weights(terms, model.vocabulary, key)
 
 
 def tfidf_weights(terms: DataFrame, chosen: DataFrame, key: str = "book_id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lectern.functions import scoring, text
 from lectern.operators import catalog as ops
 from lectern.plans.inputs import Inputs, query, r6, rounded
+from lectern.session import cut_lineage
 
 # author ids of brands start here, above every supplier
 BRAND_IDS = 100_000_000
@@ -49,13 +50,13 @@ CATALOG_SQL = {
 
 
 def catalog(inp: Inputs):
-    """The books view as a catalog, through the edition and scoring operators."""
-    books = inp.view("books")
+    """The books view as a stored catalog, through the edition and scoring operators."""
+    books = cut_lineage(inp.view("books"))
     ranked = books.join(ops.edition_rank(books).select("book_id", "edition_rank"), "book_id").withColumns(
         {"is_canonical_edition": F.col("edition_rank") == 1, "title_without_series": F.lit(None).cast("string"),
          "description": F.lit(None).cast("string")}
     )
-    return ops.derived_columns(ranked, *ops.scoring_literals(books)).drop("title_without_series")
+    return cut_lineage(ops.derived_columns(ranked, *ops.scoring_literals(books)).drop("title_without_series"))
 
 
 def nested_books(inp: Inputs):
@@ -71,7 +72,7 @@ def nested_books(inp: Inputs):
     )
     text_id = lambda c: F.col(c).cast("string")
     books = inp.view("books").join(authors, "book_id")
-    return books.select(
+    raw = books.select(
         text_id("book_id").alias("book_id"), text_id("work_id").alias("work_id"),
         F.concat(F.lit("  "), "title", F.lit(" ")).alias("title"), F.lit("").alias("title_without_series"),
         F.concat("title", F.lit(": "), "primary_author", F.lit(", "), "primary_genre").alias("description"),
@@ -80,6 +81,7 @@ def nested_books(inp: Inputs):
         "language_code", "authors",
         *(F.lit(None).cast("string").alias(c) for c in ("publisher", "isbn", "isbn13", "url", "image_url")),
     )
+    return cut_lineage(raw)
 
 
 def author_table(inp: Inputs):

@@ -44,6 +44,10 @@ def model(inp: Inputs, docs):
     return ops.tfidf_fit(docs, MAX_FEATURES, MIN_DF, MAX_DF, sample="all")
 
 
+def weighted(docs):
+    return ops.tfidf_fit_transform(docs, MAX_FEATURES, MIN_DF, MAX_DF)
+
+
 @query("content_docs_join", "SELECT book_id, item_id, title, primary_author, interaction_count FROM texts", CONTENT_SQL)
 def content_docs_join(inp):
     joined = ops.content_docs_join(inp.view("documents_v"), observed(inp))
@@ -82,8 +86,7 @@ def vocabulary(inp):
 
 @query("tfidf", "SELECT book_id, term, ROUND(weight, 6) AS weight FROM weights", CONTENT_SQL)
 def tfidf(inp):
-    docs = documents(inp)
-    return ops.tfidf_transform(model(inp, docs), docs).select("book_id", "term", r6("weight").alias("weight"))
+    return weighted(documents(inp))[1].select("book_id", "term", r6("weight").alias("weight"))
 
 
 @query(
@@ -93,9 +96,8 @@ def tfidf(inp):
     CONTENT_SQL,
 )
 def matrix_density(inp):
-    docs = documents(inp)
-    fitted = model(inp, docs)
-    return rounded(ops.matrix_density(ops.tfidf_transform(fitted, docs), fitted.documents, fitted.vocabulary.count()), "density")
+    fitted, weights = weighted(documents(inp))
+    return rounded(ops.matrix_density(weights, fitted.documents, fitted.vocabulary.count()), "density")
 
 
 @query(
@@ -116,8 +118,7 @@ def stratified_sample(inp):
 def embedded(inp: Inputs, k: int = 32):
     """(documents, TF-IDF model, SVD model, unit content vectors)."""
     docs = documents(inp)
-    fitted = model(inp, docs)
-    weights = ops.tfidf_transform(fitted, docs).persist()
+    fitted, weights = weighted(docs)
     factors = svd.truncated_svd(weights, fitted.vocabulary.count(), k)
     return docs, fitted, factors, svd.svd_project(factors, weights)
 

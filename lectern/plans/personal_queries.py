@@ -12,6 +12,7 @@ from lectern.plans.popularity_queries import scored
 from lectern.plans.vector_queries import (
     DIMENSIONS, FACTORS, VECTOR_SQL, content_space, factor_space, hybrid_space, library_rows,
 )
+from lectern.session import cut_lineage
 
 REFERENCE_DATE, HALF_LIFE = "2024-02-01", 90.0
 POOL, TOP, PER_AUTHOR = 200, 20, 3
@@ -76,7 +77,7 @@ def profile(inp: Inputs):
 
 
 def profiles(inp: Inputs):
-    return prof.user_profile(profile(inp), content_space(inp), factor_space(inp))
+    return cut_lineage(prof.user_profile(profile(inp), content_space(inp), factor_space(inp)))
 
 
 def exclusions(inp: Inputs):
@@ -430,7 +431,7 @@ def evidence_select(inp):
 
 @query("evidence_summary")
 def evidence_summary(inp):
-    recs = recommended(inp).persist()
+    recs = cut_lineage(recommended(inp))
     picks = ex.evidence_select(
         ex.evidence_candidates(recs, pool(inp), content_space(inp)), max_recommendations=TOP
     )
@@ -440,8 +441,7 @@ def evidence_summary(inp):
 
 @query("explain")
 def explain(inp):
-    recs = recommended(inp).persist()
-    told = ex.explain(recs, pool(inp), content_space(inp), top=TOP, model_details=True)
+    told = ex.explain(recommended(inp), pool(inp), content_space(inp), top=TOP, model_details=True)
     return told.select("user_id", "rank", "book_id", "short_explanation", "explanation", "evidence_books")
 
 
@@ -454,7 +454,7 @@ TEXT_SQL = {**PERSONAL_SQL, "cited": _BEST}
 
 
 def with_best_evidence(inp: Inputs):
-    recs = recommended(inp).persist()
+    recs = cut_lineage(recommended(inp))
     best = ex.best_evidence(ex.evidence_candidates(recs, pool(inp), content_space(inp)))
     return ex.evidence_summary(recs, best)
 
