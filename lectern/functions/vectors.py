@@ -87,7 +87,10 @@ def concat_scaled(left, left_scale: float, right, right_scale: float) -> Column:
 
 @F.arrow_udf(DoubleType())
 def dot(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Row-wise dot product of two vector columns (no nulls, equal lengths)."""
-    if len(left) == 0:
-        return pa.array([], pa.float64())
-    return pa.array(np.einsum("ij,ij->i", rows_of(left), rows_of(right)))
+    """Row-wise dot product of two vector columns of equal length; null where one is missing."""
+    both = pc.and_(left.is_valid(), right.is_valid())
+    valid = both.to_numpy(zero_copy_only=False)
+    out = np.zeros(len(valid))
+    if valid.any():
+        out[valid] = np.einsum("ij,ij->i", rows_of(left.filter(both)), rows_of(right.filter(both)))
+    return pa.array(out, mask=~valid)
