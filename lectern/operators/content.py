@@ -11,6 +11,9 @@ from lectern.functions.text import ngrams, tokenize
 from lectern.operators.ranking import rank_rows, top_n
 from lectern.session import cut_lineage
 
+# largest vocabulary that is broadcast (about 100 MB)
+BROADCAST_TERMS = 1_000_000
+
 
 def content_docs_join(catalog: DataFrame, items: DataFrame) -> DataFrame:
     """Canonical, mapped, titled editions that are in the filtered graph."""
@@ -158,12 +161,17 @@ def tfidf_fit_transform(
     fitted = fit_sample(documents, "all", key)
     terms = cut_lineage(document_terms(fitted, ngram_max, key=key))
     model = _fit(terms, fitted.count(), max_features, min_df, max_df, ngram_max)
-    return model, tfidf_weights(terms, model.vocabulary, key)
+    return model, tfidf_weights(terms, model.vocabulary, max_features, key)
+
 
+def tfidf_weights(terms: DataFrame, chosen: DataFrame, max_features: int, key: str = "book_id") -> DataFrame:
+    """(1 + ln tf) * idf, brought to unit length per document.
 
-def tfidf_weights(terms: DataFrame, chosen: DataFrame, key: str = "book_id") -> DataFrame:
-    """(1 + ln tf) * idf, brought to unit length per document."""
-    raw = terms.join(F.broadcast(chosen.select("term", "term_index", "idf")), "term").withColumn(
+    ``max_features`` bounds the vocabulary: a small one is broadcast, so the terms stay
+    where their documents are; a larger one is joined in place.
+    """
+    listed = chosen.select("term", "term_index", "idf")
+    raw = terms.join(F.broadcast(listed) if max_features <= BROADCAST_TERMS else listed, "term").withColumn(
         "_raw", (1 + F.ln(F.col("tf").cast("double"))) * F.col("idf")
     )
     # a document has at most max_features rows here
@@ -172,7 +180,8 @@ def tfidf_weights(terms: DataFrame, chosen: DataFrame, key: str = "book_id") ->
 
 
 def tfidf_transform(model: TfidfModel, documents: DataFrame, key: str = "book_id") -> DataFrame:
-    return tfidf_weights(document_terms(documents, model.ngram_max, key=key), model.vocabulary, key)
+    terms = document_terms(documents, model.ngram_max, key=key)
+    return tfidf_weights(terms, model.vocabulary, model.max_features, key)
 
 
 def matrix_density(weights: DataFrame, rows: int, columns: int) -> DataFrame:
