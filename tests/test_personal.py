@@ -141,9 +141,10 @@ def brute_evidence(rows, evidence, max_uses, bonus, penalty=0.02):
     return picks
 
 
-@pytest.mark.parametrize("options", [(3, 5, 0.05), (2, 1, 0.05), (3, 0, 0.2)])
+# (evidence, max uses, bonus, recommendations); the last ones keep few of the candidates
+@pytest.mark.parametrize("options", [(3, 5, 0.05, 8), (2, 1, 0.05, 8), (3, 0, 0.2, 8), (1, 1, 0.05, 2), (2, 2, 0.3, 3), (2, 0, 0.5, 2)])
 def test_evidence_select(spark, options):
-    evidence, max_uses, bonus = options
+    evidence, max_uses, bonus, recommendations = options
     rng = random.Random(11)
     books = [
         dict(library_row_id=i, explanation_weight=rng.choice([0.2, 0.5, 1.0]), my_rating=float(rng.randint(0, 5)),
@@ -153,12 +154,14 @@ def test_evidence_select(spark, options):
     ]
     rows = [
         dict(b, user_id=u, rank=k, content_similarity=0.5, evidence_score=round(rng.random(), 2), shared_genre=False, shared_author=True)
-        for u in range(2) for k in range(1, 9) for b in books if rng.random() < 0.7
+        for u in range(2) for k in range(1, recommendations + 1) for b in books if rng.random() < 0.7
     ]
     schema = "library_row_id int, explanation_weight double, my_rating double, input_title string, matched_title string, input_author string, matched_author string, user_id int, rank int, content_similarity double, evidence_score double, shared_genre boolean, shared_author boolean"
     names = [c.split()[0] for c in schema.split(", ")]
     df = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
-    got = ex.evidence_select(df, evidence, max_uses, bonus, max_recommendations=8).collect()
+    got = ex.evidence_select(df, evidence, max_uses, bonus, max_recommendations=recommendations).collect()
+    if recommendations <= 3:
+        assert ex.prune_evidence(df, evidence, recommendations, bonus).count() < len(rows)
     for u in range(2):
         mine = sorted((r["rank"], r["evidence_rank"], r["library_row_id"], r["global_usage_count"]) for r in got if r["user_id"] == u)
         assert mine == brute_evidence([r for r in rows if r["user_id"] == u], evidence, max_uses, bonus)
