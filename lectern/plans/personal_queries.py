@@ -83,7 +83,8 @@ def profiles(inp: Inputs):
 def exclusions(inp: Inputs):
     works = inp.view("shelf_books").select(F.col("book_id").alias("local_book_id"), "work_id")
     known = library_rows(inp).where(F.col("exclusion_from_recommendations"))
-    return known.join(works, "local_book_id", "left").select("user_id", "local_book_id", "work_id").distinct()
+    # read twice: by book and by work
+    return cut_lineage(known.join(works, "local_book_id", "left").select("user_id", "local_book_id", "work_id").distinct())
 
 
 def recommended(inp: Inputs):
