@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import bpe, quality, simhash, tokens
+from lectern.llm import bpe, quality, repeats, simhash, tokens
 from lectern.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(read(spark, sf_dir, "documents")).drop("spans")
