@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import bpe, quality, repeats, simhash, tokens
+from lectern.llm import bpe, mixing, quality, repeats, simhash, tokens, urls
 from lectern.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op5_url_filter", urls.check_sql())
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(read(spark, sf_dir, "pages"))
+
+
+@query("op9_mixing", mixing.check_sql())
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weights(read(spark, sf_dir, "documents"))
