@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import bpe, mixing, quality, repeats, simhash, tokens, urls
+from lectern.llm import bpe, mixing, quality, repeats, simhash, tokens, urls, warc
 from lectern.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_mixing", mixing.check_sql())
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.weights(read(spark, sf_dir, "documents"))
+
+
+@query("op10_warc", warc.check_sql())
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
