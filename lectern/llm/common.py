@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lectern.session import shared_dir, ship_package, tune
 
 #: Bytes of one Arrow batch that Spark hands to Python; long texts make batches of few rows.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.llm.common import prepare, text_bytes
+from lectern.llm.common import prepare, store, text_bytes
 
 # The symbols that the base rules count.
 SYMBOLS = b"#*$%&|<>"
@@ -137,6 +137,8 @@ def _counts(texts: pa.Array, languages: pa.Array, rules: Rules) -> Iterator[tupl
         yield language, "word", n[used], m.words.take(pa.array(used))
 
 
+#: Counted words that a task holds before it sums and emits them.
+HELD_ROWS = 300_000
 SCHEMA = "language string, kind string, name string, n bigint"
 
 
@@ -164,7 +166,7 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
                     "name": names.cast(pa.string()), "n": pa.array(n.astype(np.int64)),
                 }))
                 rows += len(n)
-            if rows > 1_000_000:
+            if rows > HELD_ROWS:
                 yield from out()
                 held, rows = [], 0
         if held:
@@ -173,7 +175,7 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     counted = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(run, SCHEMA)
     counts = counted.groupBy("language", "kind", "name").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("language", "kind").orderBy(F.desc("n"), "name")
-    top = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(rules.common_words, len(CLASSES)))
+    top = store(counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(rules.common_words, len(CLASSES))), "words")
     totals = Window.partitionBy(F.lit(1))
     shares = (
         top.groupBy("language").agg(F.sum(F.when(F.col("kind") == "total", F.col("n"))).alias("words"))
