@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import bpe, mixing, quality, repeats, simhash, tokens, topk, urls, warc
+from lectern.llm import bpe, html, mixing, quality, repeats, simhash, tokens, topk, urls, warc
 from lectern.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_top_k", topk.check_sql())
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+@query("op7_html")
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
