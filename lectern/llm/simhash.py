@@ -39,7 +39,7 @@ def _wider(hashes: np.ndarray, k: int) -> np.ndarray:
     """The k-th further 64 bits of each hash (a finaliser over hash and k)."""
     if k == 0:
         return hashes
-    x = hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k)
+    x = hashes + np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -232,17 +232,23 @@ def bucket_links(keys: np.ndarray, rows: np.ndarray, radius: int, wide: int) ->
         at = at[keys[at] == keys[at + shift]]
         at = at[_near(rows[at], rows[at + shift], radius, wide)]
         found.append(np.stack([rows[at, 0], rows[at + shift, 0]], axis=1))
+    word = np.ascontiguousarray(rows[:, 0])
     for start, size in zip(starts[sizes > SMALL_BUCKET], sizes[sizes > SMALL_BUCKET]):
-        left = rows[start:start + size]
+        left = np.arange(start, start + size)
+        near_word = word[left]
         while len(left) > 1:
-            root, queue, left = left[0, 0], [left[0]], left[1:]
+            root, queue, left, near_word = left[0], [left[0]], left[1:], near_word[1:]
             while queue and len(left):
-                near = _near(left, queue.pop(), radius, wide)
-                if near.any():
-                    met = left[near]
-                    found.append(np.stack([met[:, 0], np.full(len(met), root)], axis=1))
-                    queue.extend(met)
-                    left = left[~near]
+                at = queue.pop()
+                met = np.flatnonzero(np.bitwise_count(near_word ^ word[at]) <= radius)
+                if len(met):
+                    met = met[_near(rows[left[met]], rows[at], radius, wide)]
+                if len(met):
+                    found.append(np.stack([near_word[met], np.full(len(met), word[root])], axis=1))
+                    queue.extend(left[met])
+                    keep = np.ones(len(left), bool)
+                    keep[met] = False
+                    left, near_word = left[keep], near_word[keep]
     pairs = np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
     return pairs[pairs[:, 0] != pairs[:, 1]]
 
@@ -319,7 +325,8 @@ def near_duplicates(
     ``radius`` bits, the row itself included.
 
     With ``words`` over 1 and a ``similarity`` (Jaccard, of shingles), candidates within the radius on the first 64 bits are
-    verified on all words: two sets of similarity J have the cosine 2J / (1 + J), and bits differ at its angle over pi.
+    verified on all words: two sets of similarity J have the cosine 2J / (1 + J), and bits differ at its angle over pi. The
+    limit is one standard deviation above that share, so that pairs at the similarity itself mostly pass.
 
     Nulls: a null text is empty; empty texts share the fingerprint zero and are linked like any other; a row with a null id
     takes part, but is never the smallest id unless all ids of its component are null (component_id is then null). Repeated
@@ -327,7 +334,8 @@ def near_duplicates(
     """
     wide = None
     if similarity is not None:
-        wide = round(BITS * words * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+        share, bits = math.acos(2 * similarity / (1 + similarity)) / math.pi, BITS * words
+        wide = round(bits * share + math.sqrt(bits * share * (1 - share)))
     prints = store(fingerprints(docs, id_col, text_col, shingle, words), "prints")
     names = [f"fp{k}" for k in range(words)]
     found = components(prints, words, radius, wide)
@@ -339,12 +347,13 @@ def near_duplicates(
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 12,
     words: int = 4, similarity: float | None = 0.8,
 ) -> DataFrame:
     """The rows whose id is the smallest of their component (of repeated rows with that id, all), with all columns.
 
-    Rows with a null id stay.
+    Rows with a null id stay. Five-word shingles at a similarity of 0.8 differ in 10 of 64 bits on average; a radius of 12 finds
+    about nine of ten such pairs, and nearly all above 0.85.
     """
     found = store(near_duplicates(docs, id_col, text_col, shingle, radius, words, similarity)
                   .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "gone")
