@@ -94,7 +94,7 @@ def keyed(docs: DataFrame, text_col: str, source_col: str, lang_col: str) -> Dat
 def mix(
     docs: DataFrame, plan: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
 ) -> DataFrame:
-    """The rows with a struct column ``mixed``: source, language, topic, tokens, probability and kept.
+    """The rows with a struct column ``__mixed``: source, language, topic, tokens, probability and kept.
 
     Null sources and languages are the empty value, null texts are empty; an empty text has no tokens, changes no margin and is
     never sampled. Rows with the same id are kept or dropped together within a cell; all null ids count as one id. An empty
@@ -109,19 +109,19 @@ def mix(
         *(F.col(d).alias(f"__{d}") for d in DIMENSIONS),
         F.when(F.col("tokens") > 0, F.round(F.col("weight") / F.col("tokens"), 9)).otherwise(0.0).alias("__probability"))
     joined = marked.join(chance, [F.col(f"__mix.{d}") == F.col(f"__{d}") for d in DIMENSIONS])
-    return joined.withColumn("mixed", F.struct(
+    return joined.withColumn("__mixed", F.struct(
         *(F.col(f"__mix.{c}").alias(c) for c in (*DIMENSIONS, "tokens")), F.col("__probability").alias("probability"),
-        (F.col("__chance") < F.col("__probability")).alias("kept"))).select(*docs.columns, "mixed")
+        (F.col("__chance") < F.col("__probability")).alias("kept"))).select(*docs.columns, "__mixed")
 
 
 def sample(docs: DataFrame, plan: Mix = Mix(), **columns: str) -> DataFrame:
     """The rows that ``mix`` keeps, with their own columns."""
-    return mix(docs, plan, **columns).where("mixed.kept").select(*docs.columns)
+    return mix(docs, plan, **columns).where("__mixed.kept").select(*docs.columns)
 
 
 def weights(docs: DataFrame, plan: Mix = Mix(), id_col: str = "doc_id") -> DataFrame:
     """(id, source, language, topic, tokens, probability, kept) of every row."""
-    return mix(docs, plan, id_col=id_col).select(id_col, "mixed.*")
+    return mix(docs, plan, id_col=id_col).select(id_col, "__mixed.*")
 
 
 def check_sql(plan: Mix = Mix()) -> str:

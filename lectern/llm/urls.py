@@ -81,7 +81,7 @@ def index_rules(addresses: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: str = "allow") -> DataFrame:
-    """The rows with host, path, rule and verdict in a struct column ``judged``.
+    """The rows with host, path, rule and verdict in a struct column ``__judged``.
 
     A URL that no rule matches has a null rule and the default verdict, null URLs too. Repeated rows stay. The rules join by
     the planner's own size check; a hot token or URL is on the side that the adaptive planner splits.
@@ -94,12 +94,12 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: st
     index = index_rules(addresses, rule_table(spark, rules))
     candidates = addresses.select("__url", "host", "path", F.explode("tokens").alias("token")).join(index, "token")
     matched = candidates.where(F.regexp_like(F.concat("host", "path"), F.col("pattern")))
-    best = matched.groupBy("__url").agg(F.max(F.struct("rank", "rule", "verdict")).alias("best"))
+    best = matched.groupBy("__url").agg(F.max(F.struct("rank", "rule", "verdict")).alias("__best"))
     joined = pages.join(best, url == F.col("__url"), "left")
     judged = F.struct(
-        host_of(url).alias("host"), path_of(url).alias("path"), F.col("best.rule").alias("rule"),
-        F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"))
-    return joined.withColumn("judged", judged).select(*pages.columns, "judged")
+        host_of(url).alias("host"), path_of(url).alias("path"), F.col("__best.rule").alias("rule"),
+        F.coalesce(F.col("__best.verdict"), F.lit(default)).alias("verdict"))
+    return joined.withColumn("__judged", judged).select(*pages.columns, "__judged")
 
 
 #: The rules of the registered query: hosts first, then words of unwanted hosts.
@@ -132,5 +132,5 @@ def check_sql() -> str:
 def verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict) of every row by the default rules; rule only where a host rule fits."""
     judged = judge(pages.select(F.col(id_col), F.col(url_col)), default_rules(), url_col)
-    rule = F.col("judged.rule")
-    return judged.select(id_col, "judged.host", "judged.path", F.when(~rule.startswith("word:"), rule).alias("rule"), "judged.verdict")
+    rule = F.col("__judged.rule")
+    return judged.select(id_col, "__judged.host", "__judged.path", F.when(~rule.startswith("word:"), rule).alias("rule"), "__judged.verdict")
