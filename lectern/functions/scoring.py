@@ -107,7 +107,7 @@ def preference_signal(rating="rating") -> Column:
 
 
 def user_bucket(user_id="user_id", buckets: int = 64) -> Column:
-    return F.pmod(_col(user_id).cast("int"), F.lit(buckets))
+    return F.pmod(_col(user_id).cast("bigint"), F.lit(buckets))
 
 
 def library_preference_weight(rating="my_rating", shelf="exclusive_shelf", read_count="read_count") -> Column:

@@ -112,6 +112,16 @@ def safe_int(value) -> Column:
     return safe_float(value).try_cast("bigint")
 
 
+def whole_number(value, rounded: bool = True) -> Column:
+    """Integer of a text or number, exact over the whole range of bigint; fractions are rounded or cut, the rest is null.
+
+    Integers never pass through a double, and a decimal carries what is no plain integer ("12.7", "1e3").
+    """
+    text = F.trim(_col(value).cast("string"))
+    number = text.try_cast("decimal(38,10)")
+    return F.coalesce(text.try_cast("bigint"), (F.round(number) if rounded else number).try_cast("bigint"))
+
+
 def parse_year(value) -> Column:
     return F.trim(_col(value).cast("string")).try_cast("int")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from lectern.functions.scoring import bayesian_rating, novelty_score
-from lectern.functions.text import blank_to_null, has_usable_description, title_key
+from lectern.functions.text import blank_to_null, has_usable_description, title_key, whole_number
 from lectern.operators.ranking import SPLIT_ROWS, counted_quantile, rank_rows, value_counts
 
 AUTHORS_TYPE = ArrayType(
@@ -23,27 +23,15 @@ def _native(df: DataFrame, column: str, nested) -> Column:
     return F.col(column)
 
 
-def rounded_int(value, kind: str = "bigint") -> Column:
-    """Text or number to integer, rounding fractions; null where it does not parse."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(value.try_cast(kind), F.round(value.try_cast("double")).try_cast(kind))
-
-
-def text_int(value) -> Column:
-    """Integer text parse with the rounding of fractions spelled out."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.round(value.try_cast("double")).try_cast("bigint")
-
-
 def author_bridge(books: DataFrame) -> DataFrame:
     """One row per book and author position; unreadable author lists give none."""
     exploded = books.select(
-        text_int("book_id").alias("book_id"), F.posexplode(_native(books, "authors", AUTHORS_TYPE)).alias("pos", "a")
+        whole_number("book_id").alias("book_id"), F.posexplode(_native(books, "authors", AUTHORS_TYPE)).alias("pos", "a")
     )
     role = F.col("a.role").cast("string")
     return exploded.select(
         "book_id",
-        text_int(F.col("a.author_id")).alias("author_id"),
+        whole_number(F.col("a.author_id")).alias("author_id"),
         F.when(role != "", role).alias("author_role"),
         F.col("pos").cast("int").alias("author_position"),
     )
@@ -54,7 +42,7 @@ def author_bridge_join(bridge: DataFrame, authors: DataFrame) -> DataFrame:
 
     The bridge is the left side, so the adaptive planner may split a hot author.
     """
-    names = authors.select(text_int("author_id").alias("author_id"), F.col("name").alias("_name"))
+    names = authors.select(whole_number("author_id").alias("author_id"), F.col("name").alias("_name"))
     name = F.coalesce(F.when(F.col("_name") != "", F.col("_name")), F.lit(UNKNOWN_AUTHOR))
     return (
         bridge.where(F.col("book_id").isNotNull() & F.col("author_id").isNotNull())
@@ -66,12 +54,12 @@ def author_bridge_join(bridge: DataFrame, authors: DataFrame) -> DataFrame:
 def genre_entries(genres: DataFrame) -> DataFrame:
     """Exploded genre counts: trimmed names, null counts as 0, blank names dropped."""
     exploded = genres.select(
-        text_int("book_id").alias("book_id"), F.explode(_native(genres, "genres", GENRES_TYPE)).alias("k", "v")
+        whole_number("book_id").alias("book_id"), F.explode(_native(genres, "genres", GENRES_TYPE)).alias("k", "v")
     )
     return exploded.select(
         "book_id",
         F.trim("k").alias("genre_name"),
-        F.coalesce(text_int("v"), F.lit(0)).cast("bigint").alias("genre_count"),
+        F.coalesce(whole_number("v"), F.lit(0)).cast("bigint").alias("genre_count"),
     ).where(F.col("book_id").isNotNull() & (F.col("genre_name") != ""))
 
 
@@ -100,12 +88,12 @@ def genre_summary(bridge: DataFrame) -> DataFrame:
 
 def edition_rank(books: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Editions of a work by ratings, then reviews, then id; a book without a work is its own."""
-    book_id = text_int("book_id")
+    book_id = whole_number("book_id")
     narrow = books.select(
         book_id.alias("book_id"),
-        F.coalesce(text_int("work_id"), -book_id).alias("work_key"),
-        F.coalesce(text_int("ratings_count"), F.lit(0)).alias("_ratings"),
-        F.coalesce(text_int("text_reviews_count"), F.lit(0)).alias("_reviews"),
+        F.coalesce(whole_number("work_id"), -book_id).alias("work_key"),
+        F.coalesce(whole_number("ratings_count"), F.lit(0)).alias("_ratings"),
+        F.coalesce(whole_number("text_reviews_count"), F.lit(0)).alias("_reviews"),
     ).where(F.col("book_id").isNotNull())
     order = [F.col("_ratings").desc(), F.col("_reviews").desc(), F.col("book_id").asc()]
     return rank_rows(narrow, ["work_key"], order, "edition_rank", split_rows).drop("_ratings", "_reviews")
@@ -133,7 +121,7 @@ def scoring_literals(books: DataFrame, quantile: float = 0.90) -> tuple[float, f
 def base_books(books: DataFrame) -> DataFrame:
     """Typed and trimmed edition columns."""
     blank = lambda *names: [blank_to_null(n).alias(n) for n in names]
-    whole = lambda kind, *names: [text_int(n).try_cast(kind).alias(n) for n in names]
+    whole = lambda kind, *names: [whole_number(n).try_cast(kind).alias(n) for n in names]
     return books.select(
         *whole("bigint", "book_id", "work_id"),
         *blank("title", "title_without_series", "description"),
@@ -153,14 +141,14 @@ def catalog_star_join(
     editions: DataFrame,
 ) -> DataFrame:
     """Five left joins; the four on book_id share one partitioning, works come last."""
-    ids = id_map.select(text_int("book_id").alias("book_id"), text_int("book_id_csv").alias("interaction_book_id"))
+    ids = id_map.select(whole_number("book_id").alias("book_id"), whole_number("book_id_csv").alias("interaction_book_id"))
     work = works.select(
-        text_int("work_id").alias("work_id"),
-        text_int("books_count").alias("work_books_count"),
-        text_int("ratings_count").alias("work_ratings_count"),
+        whole_number("work_id").alias("work_id"),
+        whole_number("books_count").alias("work_books_count"),
+        whole_number("ratings_count").alias("work_ratings_count"),
         blank_to_null("original_title").alias("original_title"),
         *(
-            text_int(f"original_publication_{p}").try_cast("int").alias(f"original_publication_{p}")
+            whole_number(f"original_publication_{p}").try_cast("int").alias(f"original_publication_{p}")
             for p in ("year", "month", "day")
         ),
     )

@@ -11,9 +11,6 @@ from lectern.functions.text import ngrams, tokenize
 from lectern.operators.ranking import rank_rows, top_n
 from lectern.session import cut_lineage
 
-# largest vocabulary that is broadcast (about 100 MB)
-BROADCAST_TERMS = 1_000_000
-
 
 def content_docs_join(catalog: DataFrame, items: DataFrame) -> DataFrame:
     """Canonical, mapped, titled editions that are in the filtered graph."""
@@ -48,12 +45,16 @@ def content_text(documents: DataFrame, minimum_description: int = 40) -> DataFra
     )
 
 
-def fit_sample(documents: DataFrame, size: int | str | None = 250_000, key: str = "book_id") -> DataFrame:
-    """All non-blank documents, or the ``size`` with the smallest id hash."""
+def fit_sample(documents: DataFrame, size: int | str | None = None, key: str = "book_id") -> DataFrame:
+    """All non-blank documents, or the ``size`` with the smallest id hash where the caller asks for a sample.
+
+    Only ids are ordered; the texts come back by a semi join.
+    """
     texts = documents.where(F.length(F.trim("content_text")) > 0).select(key, "content_text")
     if size in (None, "all") or int(size) <= 0:
         return texts
-    return texts.orderBy(F.xxhash64(key), key).limit(int(size))
+    drawn = top_n(texts.select(key), [F.md5(F.col(key).cast("string")).asc(), F.col(key).asc()], int(size), "_place")
+    return texts.join(drawn.select(key), key, "left_semi")
 
 
 def allocate_sample(counts: DataFrame, key: str, requested: int) -> DataFrame:
@@ -137,7 +138,7 @@ def tfidf_fit(
     min_df: int = 5,
     max_df: float = 0.98,
     ngram_max: int = 2,
-    sample: int | str | None = 250_000,
+    sample: int | str | None = None,
     key: str = "book_id",
 ) -> TfidfModel:
     fitted = fit_sample(documents, sample, key)
@@ -167,11 +168,10 @@ def tfidf_fit_transform(
 def tfidf_weights(terms: DataFrame, chosen: DataFrame, max_features: int, key: str = "book_id") -> DataFrame:
     """(1 + ln tf) * idf, brought to unit length per document.
 
-    ``max_features`` bounds the vocabulary: a small one is broadcast, so the terms stay
-    where their documents are; a larger one is joined in place.
+    The vocabulary is a stored table of at most ``max_features`` rows, so the planner knows its size and decides how
+    to join it.
     """
-    listed = chosen.select("term", "term_index", "idf")
-    raw = terms.join(F.broadcast(listed) if max_features <= BROADCAST_TERMS else listed, "term").withColumn(
+    raw = terms.join(chosen.select("term", "term_index", "idf"), "term").withColumn(
         "_raw", (1 + F.ln(F.col("tf").cast("double"))) * F.col("idf")
     )
     # a document has at most max_features rows here

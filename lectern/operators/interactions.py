@@ -12,7 +12,7 @@ from lectern.session import cut_lineage
 def catalog_map(catalog: DataFrame) -> DataFrame:
     """Narrow projection of the catalog rows that occur in the interactions."""
     return catalog.where(F.col("interaction_book_id").isNotNull()).select(
-        F.col("interaction_book_id").cast("int").alias("item_id"),
+        F.col("interaction_book_id").cast("bigint").alias("item_id"),
         F.col("book_id").cast("bigint").alias("local_book_id"),
         F.col("work_id").cast("bigint").alias("work_id"),
         "title",
@@ -111,8 +111,8 @@ def filtered_interactions(
     edges = kcore_semi_join(positive_interactions(interactions), users, "user_id")
     edges = interaction_catalog_join(kcore_semi_join(edges, items, "item_id"), mapped)
     return edges.select(
-        F.col("user_id").cast("int").alias("user_id"),
-        F.col("item_id").cast("int").alias("item_id"),
+        F.col("user_id").cast("bigint").alias("user_id"),
+        F.col("item_id").cast("bigint").alias("item_id"),
         "local_book_id",
         "work_id",
         F.col("rating").cast("tinyint").alias("rating"),
@@ -142,7 +142,7 @@ def dedupe_training(training: DataFrame) -> DataFrame:
     )
 
 
-def cap_per_user(training: DataFrame, cap: int = 100) -> DataFrame:
+def cap_per_user(training: DataFrame, cap: int = 0) -> DataFrame:
     """The strongest ``cap`` rows of every user; 0 keeps all."""
     if cap <= 0:
         return training
@@ -151,7 +151,7 @@ def cap_per_user(training: DataFrame, cap: int = 100) -> DataFrame:
 
 
 def training_rows(
-    filtered: DataFrame, users: DataFrame, items: DataFrame, cap: int = 100, positive: bool = False
+    filtered: DataFrame, users: DataFrame, items: DataFrame, cap: int = 0, positive: bool = False
 ) -> DataFrame:
     joined = training_join(filtered, users, items)
     return cap_per_user(dedupe_training(positive_only(joined) if positive else joined), cap)

@@ -8,6 +8,7 @@ from lectern.functions.scoring import bayesian_rating, wilson_lower_bound
 from lectern.operators.catalog import scoring_literals
 from lectern.operators.ranking import cume_dist, grouped_quantile, top_k, top_n
 
+# Columns of the scored table.
 SCORED_COLUMNS = (
     "book_id", "work_id", "interaction_book_id", "title", "primary_author_id", "primary_author", "author_names",
     "primary_genre", "genre_names", "language_code", "publication_year", "average_rating", "ratings_count",

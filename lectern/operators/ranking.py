@@ -106,8 +106,10 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, o
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
-    """Global top ``n``: per-task top n, merged; the rank window sees n rows only."""
+    """Global top ``n``. Up to ``PRUNED_RANK`` rows: per-task top n, merged in one task; beyond it, ranked by ranges."""
     order = list(order)
+    if n > PRUNED_RANK:
+        return rank_rows(df, [], order, out).where(F.col(out) <= n)
     best = df.orderBy(*order).limit(n)
     return best.withColumn(out, F.row_number().over(Window.orderBy(*order)))
 

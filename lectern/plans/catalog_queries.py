@@ -9,8 +9,8 @@ from lectern.operators import catalog as ops
 from lectern.plans.inputs import Inputs, query, r6, rounded
 from lectern.session import cut_lineage
 
-# author ids of brands start here, above every supplier
-BRAND_IDS = 100_000_000
+# author ids of brands start here, above every supplier and above what a double holds exactly
+BRAND_IDS = 2**53 + 1
 
 CATALOG_SQL = {
     "parameters": """SELECT COALESCE(AVG(average_rating), 0) AS global_mean_rating,
@@ -210,9 +210,9 @@ def try_cast(inp):
     return inp.table("events").select(
         "event_id",
         F.get_json_object("props", "$.k").try_cast("double").alias("as_double"),
-        ops.text_int(F.col("value").cast("string")).isNull().alias("no_number"),
-        ops.text_int("event_type").alias("no_integer"),
-        ops.text_int(F.col("value").cast("string")).alias("as_integer"),
+        text.whole_number(F.col("value").cast("string")).isNull().alias("no_number"),
+        text.whole_number("event_type").alias("no_integer"),
+        text.whole_number(F.col("value").cast("string")).alias("as_integer"),
     )
 
 

@@ -59,7 +59,12 @@ def content_text(inp):
     return documents(inp).select("book_id", "content_text")
 
 
-@query("fit_sample")
+@query(
+    "fit_sample",
+    """SELECT book_id, content_text FROM texts WHERE LENGTH(TRIM(content_text)) > 0
+    ORDER BY md5(CAST(book_id AS VARCHAR)), book_id LIMIT 100""",
+    CONTENT_SQL,
+)
 def fit_sample(inp):
     return ops.fit_sample(documents(inp), 100)
 

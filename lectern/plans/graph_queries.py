@@ -50,11 +50,12 @@ def core(inp: Inputs):
 
 
 def filtered(inp: Inputs):
-    items, users = core(inp)
-    return graph.filtered_interactions(inp.view("interactions"), items, users, mapped(inp), PARTITIONS), items, users
+    books = mapped(inp)
+    items, users = graph.kcore_filter(inp.view("interactions"), books, MIN_ITEM, MIN_USER)
+    return graph.filtered_interactions(inp.view("interactions"), items, users, books, PARTITIONS), items, users
 
 
-def training(inp: Inputs, cap: int = 100):
+def training(inp: Inputs, cap: int = 0):
     edges, items, users = filtered(inp)
     return graph.training_rows(edges, users, items, cap)
 
@@ -158,7 +159,9 @@ def catalog_map(inp):
     GRAPH_SQL,
 )
 def stats_enrich_join(inp):
-    return rounded(graph.stats_enrich_join(core(inp)[0], mapped(inp)), "bayesian_rating", "average_user_rating")
+    books = mapped(inp)
+    items, _ = graph.kcore_filter(inp.view("interactions"), books, MIN_ITEM, MIN_USER)
+    return rounded(graph.stats_enrich_join(items, books), "bayesian_rating", "average_user_rating")
 
 
 @query("implicit_read_count", "SELECT user_id, interaction_count, rating_count, interaction_count - rating_count AS implicit_read_count FROM users2", GRAPH_SQL)

@@ -21,7 +21,7 @@ TABLES = (
 VIEWS: dict[str, str] = {
     # user-item edges: readers are customers, books are parts
     "interactions": """
-        SELECT CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS book_id,
+        SELECT o_custkey AS user_id, l_partkey AS book_id,
                CAST(CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END AS TINYINT) AS is_read,
                CAST(CAST(l_quantity AS INT) % 6 AS TINYINT) AS rating,
                CAST(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS TINYINT) AS is_reviewed
@@ -39,15 +39,16 @@ VIEWS: dict[str, str] = {
                p_type AS primary_genre, 1950 + p_size AS publication_year,
                CASE p_size % 4 WHEN 0 THEN 'en-US' WHEN 1 THEN 'fre' WHEN 2 THEN 'ger' ELSE NULL END AS language_code,
                average_rating, ratings_count, text_reviews_count,
-               CASE WHEN p_partkey % 20 <> 7 THEN CAST(p_partkey AS INT) END AS interaction_book_id
+               CASE WHEN p_partkey % 20 <> 7 THEN p_partkey END AS interaction_book_id
         FROM {part} LEFT JOIN book_ratings ON p_partkey = book_id""",
     "documents_v": """
-        SELECT doc_id AS book_id, substring(text, 1, 60) AS title, source AS primary_author, lang AS language_code,
+        SELECT doc_id AS book_id, t.title, source AS primary_author, lang AS language_code,
                text AS description, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE concat('genre ', lang, ' | ', source) END AS genre_names,
                lang AS primary_genre, CAST(1950 + n_chars % 70 AS INT) AS publication_year,
                doc_id % 5 <> 0 AS is_canonical_edition,
-               CASE WHEN doc_id % 20 <> 7 THEN CAST(doc_id AS INT) END AS interaction_book_id
-        FROM {documents}""",
+               CASE WHEN doc_id % 20 <> 7 THEN doc_id END AS interaction_book_id
+        FROM (SELECT *, doc_id % (SELECT COUNT(*) FROM {pages}) AS title_id FROM {documents}) d
+        LEFT JOIN (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM {pages}) t ON t.page_id = d.title_id""",
     # library rows of many readers
     "library": """
         SELECT l.event_id AS library_row_id, l.user_id, l.local_book_id, p_name AS input_title, p_brand AS input_author,

@@ -42,12 +42,12 @@ def read_interactions(inp):
 
 @query(
     "read_id_map",
-    "SELECT p_partkey AS book_id_csv, CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE p_partkey END AS book_id FROM {part}",
+    f"SELECT p_partkey AS book_id_csv, CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE {2**53} + p_partkey END AS book_id FROM {{part}}",
 )
 def read_id_map(inp):
     path = _place(inp, "id_map.csv")
     key = F.col("p_partkey")
-    shown = F.when(key % 10 == 3, "unknown").otherwise(key.cast("string"))
+    shown = F.when(key % 10 == 3, "unknown").otherwise((F.lit(2**53) + key).cast("string"))
     inp.table("part").select(key.alias("book_id_csv"), shown.alias("book_id")).write.option("header", True).csv(path)
     return readers.read_id_map(inp.spark, path)
 
@@ -106,7 +106,7 @@ def write_partitioned(inp):
     path = _place(inp, "interactions")
     edges = graph.positive_interactions(inp.view("interactions")).withColumn("user_bucket", user_bucket())
     writers.write_partitioned(edges, path, files_per_bucket=2)
-    return inp.spark.read.parquet(path).groupBy("user_bucket").agg(
+    return inp.spark.read.parquet(path).groupBy(F.col("user_bucket").cast("bigint").alias("user_bucket")).agg(
         F.count("*").alias("rows"), F.count_distinct("user_id").alias("users")
     )
 
@@ -164,14 +164,14 @@ def run_metrics(inp):
 
 @query(
     "normalize_types",
-    """SELECT event_id AS book_id, TRY_CAST(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS BIGINT) AS num_pages,
+    f"""SELECT event_id + {2**53} AS book_id, TRY_CAST(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS BIGINT) AS num_pages,
     value AS average_rating, CASE event_type WHEN 'view' THEN TRUE WHEN 'click' THEN FALSE END AS is_ebook,
-    '["' || event_type || '"]' AS authors FROM {events}""",
+    '["' || event_type || '"]' AS authors FROM {{events}}""",
 )
 def normalize_types(inp):
     ebook = F.when(F.col("event_type") == "view", "True").when(F.col("event_type") == "click", "false").otherwise("maybe")
     raw = inp.table("events").select(
-        F.col("event_id").cast("string").alias("book_id"), F.get_json_object("props", "$.k").alias("num_pages"),
+        (F.lit(2**53) + F.col("event_id")).cast("string").alias("book_id"), F.get_json_object("props", "$.k").alias("num_pages"),
         F.col("value").cast("string").alias("average_rating"), ebook.alias("is_ebook"), F.array("event_type").alias("authors"),
     )
     return readers.normalize_types(raw)

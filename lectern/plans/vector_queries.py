@@ -11,13 +11,13 @@ from lectern.plans.graph_queries import training
 from lectern.plans.inputs import Inputs, big, query, rounded
 from lectern.plans.popularity_queries import POPULARITY_SQL, observed, scored
 
-DIMENSIONS, FACTORS = 64, 32
+DIMENSIONS = FACTORS = 64
 
 VECTOR_SQL = {
     **POPULARITY_SQL,
     "content_v": "SELECT vec_id AS book_id, label, embedding::DOUBLE[] AS vector FROM {embeddings}",
-    # a second space: the first half of the vector, backwards
-    "factors_v": "SELECT vec_id AS book_id, list_reverse(embedding[1:32])::DOUBLE[] AS vector FROM {embeddings}",
+    # a second space: the vector backwards
+    "factors_v": "SELECT vec_id AS book_id, list_reverse(embedding)::DOUBLE[] AS vector FROM {embeddings}",
     "content_n": """SELECT book_id, list_transform(vector, lambda x: x / SQRT(list_inner_product(vector, vector))) AS vector
         FROM content_v WHERE list_inner_product(vector, vector) > 0""",
     "factors_n": """SELECT book_id, list_transform(vector, lambda x: x / SQRT(list_inner_product(vector, vector))) AS vector
@@ -41,8 +41,7 @@ def content_space(inp: Inputs):
 
 
 def factor_space(inp: Inputs):
-    half = F.reverse(F.slice("embedding", 1, FACTORS))
-    return inp.table("embeddings").select(F.col("vec_id").alias("book_id"), half.alias("vector"))
+    return inp.table("embeddings").select(F.col("vec_id").alias("book_id"), F.reverse("embedding").alias("vector"))
 
 
 def hybrid_space(inp: Inputs):
@@ -157,14 +156,34 @@ def hybrid_lookup(inp):
     return lookup(inp.table("part").select(F.col("p_partkey").alias("book_id")), index)
 
 
-@query("implicit_als")
+@query(
+    "implicit_als",
+    """SELECT user_id AS id, CAST(64 AS INT) AS factors, 'user' AS side FROM (SELECT DISTINCT user_id FROM training)
+    UNION ALL SELECT item_id, CAST(64 AS INT), 'item' FROM (SELECT DISTINCT item_id FROM training)""",
+    VECTOR_SQL,
+)
 def implicit_als(inp):
+    """Every user and item of the training rows, with the number of finite factors."""
+    finite = F.size(F.filter("vector", lambda x: F.abs(x) < float("inf"))).alias("factors")
     users, items = collaborative.implicit_als(training(inp))
-    return users.select("user_id", F.size("vector").alias("factors")).withColumn("side", F.lit("user")).unionByName(
-        items.select(F.col("item_id").alias("user_id"), F.size("vector").alias("factors")).withColumn("side", F.lit("item"))
-    ).withColumnRenamed("user_id", "id")
+    return users.select(F.col("user_id").cast("bigint").alias("id"), finite, F.lit("user").alias("side")).unionByName(
+        items.select(F.col("item_id").cast("bigint").alias("id"), finite, F.lit("item").alias("side"))
+    )
 
 
-@query("als_factors")
+@query(
+    "als_factors",
+    """SELECT item_id, COUNT(*) AS users, TRUE AS fits FROM training GROUP BY item_id""",
+    VECTOR_SQL,
+)
 def als_factors(inp):
-    return collaborative.implicit_als(training(inp))[1]
+    """Items with their users, and whether their factors score those users above the average of all users."""
+    rows = training(inp)
+    users, items = collaborative.implicit_als(rows)
+    mean = users.select(F.posexplode("vector").alias("d", "x")).groupBy("d").agg(F.avg("x").alias("x"))
+    mean = mean.agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"]).alias("mean"))
+    score = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    met = rows.join(users.withColumnRenamed("vector", "u"), "user_id").join(items.withColumnRenamed("vector", "i"), "item_id")
+    fitted = met.crossJoin(F.broadcast(mean)).groupBy("item_id").agg(
+        F.count("*").alias("users"), F.avg(score("u", "i")).alias("own"), F.avg(score("mean", "i")).alias("usual"))
+    return fitted.select(F.col("item_id").cast("bigint").alias("item_id"), "users", (F.col("own") > F.col("usual")).alias("fits"))

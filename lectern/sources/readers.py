@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from lectern.functions.text import lenient_boolean
+from lectern.functions.text import lenient_boolean, whole_number
 
 # Column sets of the raw inputs.
 INTERACTION_TYPES = {
-    "user_id": "int", "book_id": "int", "is_read": "tinyint", "rating": "tinyint", "is_reviewed": "tinyint",
+    "user_id": "bigint", "book_id": "bigint", "is_read": "tinyint", "rating": "tinyint", "is_reviewed": "tinyint",
 }
 ID_MAP_COLUMNS = ("book_id_csv", "book_id")
 INTEGER_COLUMNS = (
@@ -63,7 +63,7 @@ def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     """The id map; ids that are no numbers become null."""
     rows = spark.read.option("header", True).csv(path)
     _require(rows, ID_MAP_COLUMNS, "id map")
-    number = lambda c: F.col(c).try_cast("double").try_cast("bigint").alias(c)
+    number = lambda c: whole_number(c, rounded=False).alias(c)
     return rows.select(*(number(c) if c in ID_MAP_COLUMNS else F.col(c) for c in rows.columns))
 
 
@@ -101,7 +101,7 @@ def normalize_types(rows: DataFrame) -> DataFrame:
         if name in BOOLEAN_COLUMNS:
             return lenient_boolean(name)
         if name in INTEGER_COLUMNS:
-            return F.col(name).try_cast("double").try_cast("bigint")
+            return whole_number(name, rounded=False)
         if name in FLOAT_COLUMNS:
             return F.col(name).try_cast("double")
         if kind.typeName() in ("array", "map", "struct"):

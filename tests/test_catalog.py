@@ -91,3 +91,36 @@ def test_author_rankings_and_lists(spark):
     assert {r["book_id"] for r in pop.rank_by_language(scored, 5, 0).collect()} == {1, 4, 5}
     assert [r["book_id"] for r in pop.hidden_gems(scored, 4.0, 10, 50).orderBy("hidden_gem_rank").collect()] == [1, 4]
     assert [r["book_id"] for r in pop.safe_choices(scored, 4.0, 50).orderBy("safe_choice_rank").collect()] == [4, 5]
+
+
+@pytest.mark.parametrize("book", [2**53 + 1, 2**63 - 1])
+def test_wide_ids_stay_exact(spark, book):
+    """Two neighbouring ids above 2^53 stay two books through every step of the catalog."""
+    pair = [str(book), str(book - 1)]
+    books = spark.createDataFrame(
+        [(b, pair[0], [(pair[1], "")], "t", "", "d" * 50, "4.0", "3", "1", "1990", "en", None, None, None, None, None) for b in pair],
+        "book_id string, work_id string, authors array<struct<author_id:string,role:string>>, title string, title_without_series string, "
+        "description string, average_rating string, ratings_count string, text_reviews_count string, publication_year string, "
+        "language_code string, publisher string, isbn string, isbn13 string, url string, image_url string")
+    wanted = {int(b) for b in pair}
+    assert {(r.book_id, r.author_id) for r in ops.author_bridge(books).collect()} == {(b, book - 1) for b in wanted}
+    genres = spark.createDataFrame([(b, {"g": "1"}) for b in pair], "book_id string, genres map<string,string>")
+    assert {r.book_id for r in ops.genre_bridge(genres).collect()} == wanted
+    assert {(r.book_id, r.work_key) for r in ops.edition_rank(books).collect()} == {(b, book) for b in wanted}
+    authors = spark.createDataFrame([(pair[1], "N")], "author_id string, name string")
+    ids = spark.createDataFrame([(pair[0], "5")], "book_id string, book_id_csv string")
+    works = spark.createDataFrame([(pair[0], "2", "9", "o", "1", "2", "3")], "work_id string, books_count string, ratings_count string, "
+                                  "original_title string, original_publication_year string, original_publication_month string, original_publication_day string")
+    rows = {r.book_id: r for r in ops.build_catalog(books, authors, genres, works, ids).collect()}
+    assert set(rows) == wanted and all(r.primary_author == "N" and r.work_books_count == 2 for r in rows.values())
+    assert rows[book].interaction_book_id == 5 and rows[book - 1].interaction_book_id is None
+
+
+def test_whole_numbers(spark):
+    from lectern.functions.text import whole_number
+
+    shown = ["12", " 12 ", "12.5", "-12.5", "12d", "1e3", "x", "", None, str(2**63 - 1), str(2**63), "NaN", "1.2e40"]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(shown)], "i int, s string").orderBy("i")
+    got = [tuple(r) for r in rows.select(whole_number("s"), whole_number("s", rounded=False)).collect()]
+    assert got == [(12, 12), (12, 12), (13, 12), (-13, -12), (None, None), (1000, 1000), (None, None), (None, None), (None, None),
+                   (2**63 - 1, 2**63 - 1), (None, None), (None, None), (None, None)]

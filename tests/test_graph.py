@@ -100,7 +100,11 @@ def test_als_solves_its_normal_equations(spark):
         assert np.abs(left @ vector - right).max() < 1e-3
 
 
-def test_als_rejects_weights_below_the_offset(spark):
-    weak = spark.createDataFrame([(1, 1, 0.01)], "user_id int, item_id int, interaction_weight float")
-    with pytest.raises(Exception, match="interaction_weight"):
-        collaborative.implicit_als(weak, 2, 1)
+@pytest.mark.parametrize("alpha", [0.5, 5.0, 40.0])
+def test_als_takes_any_positive_alpha(spark, alpha):
+    rows = [(u, i, w) for u in range(4) for i, w in ((u, 0.01), (u + 1, 1.0), (u + 2, 0.1))]
+    weak = spark.createDataFrame(rows, "user_id bigint, item_id bigint, interaction_weight float")
+    users, items = collaborative.implicit_als(weak, 2, 2, alpha=alpha)
+    assert {r.user_id for r in users.collect()} == set(range(4)) and {r.item_id for r in items.collect()} == set(range(6))
+    with pytest.raises(ValueError):
+        collaborative.implicit_als(weak, 2, 2, alpha=0)

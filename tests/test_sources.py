@@ -23,7 +23,7 @@ def test_csv_readers(spark, tmp_path):
     good = tmp_path / "i.csv"
     good.write_text("rating,user_id,book_id,is_read,is_reviewed,extra\n5,1,2,1,0,x\n")
     rows = readers.read_interactions(spark, str(good))
-    assert rows.dtypes == [("user_id", "int"), ("book_id", "int"), ("is_read", "tinyint"), ("rating", "tinyint"), ("is_reviewed", "tinyint")]
+    assert rows.dtypes == [("user_id", "bigint"), ("book_id", "bigint"), ("is_read", "tinyint"), ("rating", "tinyint"), ("is_reviewed", "tinyint")]
     assert tuple(rows.first()) == (1, 2, 1, 5, 0)
     (tmp_path / "short.csv").write_text("user_id,book_id\n1,2\n")
     with pytest.raises(ValueError, match="is_read"):
@@ -31,8 +31,8 @@ def test_csv_readers(spark, tmp_path):
     good.write_text("rating,user_id,book_id,is_read,is_reviewed\nfive,1,2,1,0\n")
     with pytest.raises(Exception):
         readers.read_interactions(spark, str(good)).collect()
-    (tmp_path / "m.csv").write_text("book_id_csv,book_id\n0,34\nx,12\n")
-    assert [tuple(r) for r in readers.read_id_map(spark, str(tmp_path / "m.csv")).collect()] == [(0, 34), (None, 12)]
+    (tmp_path / "m.csv").write_text(f"book_id_csv,book_id\n0,{2**53 + 1}\nx,{2**63 - 1}\n12d,7.9\n")
+    assert [tuple(r) for r in readers.read_id_map(spark, str(tmp_path / "m.csv")).collect()] == [(0, 2**53 + 1), (None, 2**63 - 1), (None, 7)]
 
 
 def test_library_export(spark, tmp_path):
