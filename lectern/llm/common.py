@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lectern.session import shared_dir, ship_package, tune
 
 #: Bytes of one Arrow batch that Spark hands to Python; long texts make batches of few rows.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -56,7 +56,7 @@ def text_rows(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def columns(schema: str, **values) -> pa.RecordBatch:
-    """A batch in the order of a Spark schema string."""
-    names = [part.split()[0] for part in schema.split(",")]
-    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in (values[n] for n in names)], names)
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; when they end, what Arrow holds back for reuse goes back to the system, as the worker lives on."""
+    yield from batches
+    pa.default_memory_pool().release_unused()

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.llm.common import prepare, store, text_bytes
+from lectern.llm.common import prepare, released, store, text_bytes
 
 # The symbols that the base rules count.
 SYMBOLS = b"#*$%&|<>"
@@ -138,7 +138,7 @@ def _counts(texts: pa.Array, languages: pa.Array, rules: Rules) -> Iterator[tupl
 
 
 #: Counted words that a task holds before it sums and emits them.
-HELD_ROWS = 300_000
+HELD_ROWS = 150_000
 SCHEMA = "language string, kind string, name string, n bigint"
 
 
@@ -172,7 +172,7 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
         if held:
             yield from out()
 
-    counted = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(run, SCHEMA)
+    counted = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(lambda batches: released(run(batches)), SCHEMA)
     counts = counted.groupBy("language", "kind", "name").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("language", "kind").orderBy(F.desc("n"), "name")
     top = store(counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(rules.common_words, len(CLASSES))), "words")
@@ -275,4 +275,4 @@ def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", l
         for batch in batches:
             yield batch.filter(pa.array(judge(batch.column(text), batch.column(lang), made, rules)[1]["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: released(run(batches)), docs.schema)

@@ -24,17 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from lectern.llm.common import prepare, store, text_bytes, text_rows
+from lectern.llm.common import prepare, released, store, text_bytes, text_rows
 from lectern.llm.suffixes import WORD, deep_shallow
 
 #: Bytes hashed at once, and records that a task holds before it deals them.
-SECTION, HELD = 1 << 19, 1 << 19
+SECTION, HELD = 1 << 18, 1 << 18
 #: Bytes of text for each part of the first and of the other shuffles.
-ANCHOR_PART, TEXT_PART = 32 << 20, 24 << 20
+ANCHOR_PART, TEXT_PART = 16 << 20, 24 << 20
 #: Different segments of one anchor beyond which its windows are dealt by themselves.
 HOT_ANCHOR = 4_096
 #: Bytes of segments that are sorted at once, where an anchor ends.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
 
 #: Place in the corpus (document, text hash), anchor and segment hash, first window and number of windows.
 RECORD = np.dtype([("gram", "<u8"), ("segment", "<u8"), ("doc", "<i8"), ("hash", "<i8"), ("at", "<i8"), ("n", "<i4")])
@@ -192,8 +192,8 @@ def find_candidates(keyed: DataFrame, parts: int, length: int, gram: int, hot: i
             state = np.where(size > hot, SORT_HOT, SORT)
             yield _span_batch(records[size > 1], state[size > 1])
 
-    dealt = keyed.mapInArrow(deal, "part int, gone boolean, records binary")
-    return dealt.repartition(parts, "part").mapInArrow(classify, SPANS)
+    dealt = keyed.mapInArrow(lambda batches: released(deal(batches)), "part int, gone boolean, records binary")
+    return dealt.repartition(parts, "part").mapInArrow(lambda batches: released(classify(batches)), SPANS)
 
 
 SEGMENTS = f"key bigint, {_ID} bigint, {_HASH} bigint, at bigint, n int, bytes binary"
@@ -317,10 +317,10 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, gram:
     open_ = _by_document(found.where(F.col("state") != REMOVED), ["at", "n", "gram", "state"])
     text_at = docs.columns.index(text_col)
     cut = dealt.join(open_.hint("shuffle_hash"), [_ID, _HASH]).select(*docs.columns, _ID, _HASH, _SPANS)
-    pieces = cut.mapInArrow(lambda batches: cut_segments(batches, text_at, length), SEGMENTS)
+    pieces = cut.mapInArrow(lambda batches: released(cut_segments(batches, text_at, length)), SEGMENTS)
     sort_parts = max(12, found.where(F.col("state") != REMOVED).count() // 150_000)
     sorted_ = pieces.repartition(sort_parts, "key").sortWithinPartitions("key")
-    repeats = sorted_.mapInArrow(lambda batches: sort_segments(batches, length), REMOVALS)
+    repeats = sorted_.mapInArrow(lambda batches: released(sort_segments(batches, length)), REMOVALS)
     removed = found.where(F.col("state") == REMOVED).select(_ID, _HASH, "at", "n").unionByName(repeats)
     return dealt.join(_by_document(removed, ["at", "n"]).hint("shuffle_hash"), [_ID, _HASH], "left").select(*docs.columns, _SPANS)
 

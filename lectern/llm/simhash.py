@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.common import prepare, store, text_rows
+from lectern.llm.common import prepare, released, store, text_rows
 from lectern.llm.components import connected_components
 
 BITS = 64
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), *(pa.array(made[:, k].view(np.int64)) for k in range(words))], ["id", *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} bigint" for n in names))
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(lambda batches: released(run(batches)), f"id {kind}, " + ", ".join(f"{n} bigint" for n in names))
 
 
 # ---------------------------------------------------------------- the partitioning
@@ -298,7 +298,7 @@ def links(nodes: DataFrame, radius: int = 3, wide: int | None = None) -> DataFra
             counts = store(probes.groupBy("key").count().where(F.col("count") > HOT_BUCKET).select("key"), "hot")
             hot = None if counts.isEmpty() else counts
         cold = probes if hot is None else probes.join(hot, "key", "left_anti")
-        made = cold.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u bigint, v bigint")
+        made = cold.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: released(run(batches)), "u bigint, v bigint")
         found = made if found is None else found.unionByName(made)
         if hot is None:
             return found
