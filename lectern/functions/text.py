@@ -127,9 +127,14 @@ def parse_year(value) -> Column:
 
 
 def lenient_date(value, formats=("yyyy/MM/dd", "yyyy-MM-dd")) -> Column:
-    """The first format that reads the text; null when none does."""
+    """The first format that reads the text, or else its part before a time ("2020-01-05 10:00:00", "2020-01-05T10:00Z").
+
+    Days and months of one digit, and the month-first form of exports, are read too; null when nothing does.
+    """
     text = F.trim(_col(value).cast("string"))
-    return F.coalesce(*(F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats))
+    day = F.regexp_extract(text, r"^(\S+?)(?:[T ]\s*\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2}|[AaPp][Mm])?)?$", 1)
+    read = [F.to_date(F.try_to_timestamp(day, F.lit(f))) for f in (*formats, "yyyy/M/d", "yyyy-M-d", "M/d/yyyy")]
+    return F.coalesce(*read)
 
 
 def lenient_boolean(value) -> Column:

@@ -76,21 +76,21 @@ def kcore_filter(
     ``require_mapped``) and users over eligible items. It stops after ``max_iter``
     refinements or once both counts repeat; ``until_converged`` lifts the limit.
     """
-    edges = positive_interactions(interactions).select("user_id", "item_id", "rating").persist()
-    try:
-        catalogued = interaction_catalog_join(edges, mapped).select("user_id", "item_id", "rating")
-        recounted = catalogued if require_mapped else edges
-        items = cut_lineage(item_stats(catalogued, min_item))
+    edges = cut_lineage(positive_interactions(interactions).select("user_id", "item_id", "rating"))
+    catalogued = interaction_catalog_join(edges, mapped).select("user_id", "item_id", "rating")
+    recounted = catalogued if require_mapped else edges
+    items = cut_lineage(item_stats(catalogued, min_item))
+    users = cut_lineage(user_stats(kcore_semi_join(edges, items, "item_id"), min_user))
+    sizes, step = None, 0
+    while until_converged or step < max_iter:
+        items = cut_lineage(item_stats(kcore_semi_join(recounted, users, "user_id"), min_item))
         users = cut_lineage(user_stats(kcore_semi_join(edges, items, "item_id"), min_user))
-        sizes, step = None, 0
-        while until_converged or step < max_iter:
-            items = cut_lineage(item_stats(kcore_semi_join(recounted, users, "user_id"), min_item))
-            users = cut_lineage(user_stats(kcore_semi_join(edges, items, "item_id"), min_user))
-            previous, sizes, step = sizes, (items.count(), users.count()), step + 1
-            if sizes == previous:
-                break
-    finally:
-        edges.unpersist()
+        step += 1
+        if step == max_iter and not until_converged:
+            break
+        previous, sizes = sizes, (items.count(), users.count())
+        if sizes == previous:
+            break
     return items, users
 
 

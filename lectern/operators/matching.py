@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.fuzzy import author_score, fuzzy_score, title_score
 from lectern.functions.text import author_tokens, normalize_isbn, normalize_text, title_tokens
@@ -150,6 +150,27 @@ def blocked_fuzzy_join(
     return top_k(found, ["q_title", "q_author"], popularity_order(), limit, "candidate_rank")
 
 
+def exact_titles(requests: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(q_title, q_author, book_id) of canonical editions whose normalised title is the request's, whatever their popularity.
+
+    Of editions with the same title and author, only the most popular one can win, so only it is paired.
+    """
+    named = catalog.where(F.col("is_canonical_edition")).select(
+        normalize_text("title").alias("q_title"), normalize_text("primary_author").alias("_a"), "book_id", "ratings_count", "bayesian_rating"
+    ).where(F.col("q_title") != "")
+    best = top_k(named, ["q_title", "_a"], popularity_order(), 1, "_rank").drop("_rank", "_a")
+    return requests.select("q_title", "q_author").join(best, "q_title")
+
+
+def request_candidates(requests: DataFrame, catalog: DataFrame, limit: int = 250) -> DataFrame:
+    """Blocked candidates, and exact titles beyond the limit, ranked by popularity."""
+    popular = catalog.select("book_id", "ratings_count", "bayesian_rating")
+    blocked = blocked_fuzzy_join(requests, catalog, limit).select("q_title", "q_author", "book_id").join(popular, "book_id")
+    both = blocked.unionByName(exact_titles(requests, catalog)).distinct()
+    place = Window.partitionBy("q_title", "q_author").orderBy(*popularity_order())
+    return both.withColumn("candidate_rank", F.row_number().over(place))
+
+
 def limit_candidates(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     return top_k(df, keys, popularity_order(), limit, "candidate_rank")
 
@@ -182,7 +203,7 @@ def local_match(
         F.lit(None).cast("double").alias("author_score"), F.lit("isbn").alias("via"),
     )
     rest = inputs.join(by_isbn.select(*keys), keys, "left_anti")
-    candidates = blocked_fuzzy_join(match_requests(rest), catalog, limit)
+    candidates = request_candidates(match_requests(rest), catalog, limit)
     best = argmax_match(score_candidates(candidates, catalog), ["q_title", "q_author"])
     named = rest.where(F.coalesce("title", F.lit("")) != "").select(
         *keys, normalize_text("title").alias("q_title"), normalize_text("author").alias("q_author")

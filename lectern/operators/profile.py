@@ -17,8 +17,12 @@ def profile_rows(
     min_weight: float = 0.05,
     positive_only: bool = False,
     date: str = "date_read",
+    fallback: str = "date_added",
 ) -> DataFrame:
-    """Eligible, matched rows whose weight clears ``min_weight`` before and after decay."""
+    """Eligible, matched rows whose weight clears ``min_weight`` before and after decay.
+
+    A row without a reading date decays from the date it was added, if the rows have one.
+    """
     rows = imported
     if "profile_eligible" in rows.columns:
         rows = rows.where(F.coalesce("profile_eligible", F.lit(False)))
@@ -28,8 +32,10 @@ def profile_rows(
     rows = rows.withColumn("base_weight", base)
     strong = F.col("base_weight") if positive_only else F.abs("base_weight")
     kept = rows.where((strong >= min_weight) & (F.col("base_weight") > 0 if positive_only else F.lit(True)))
+    dates = [F.col(c).cast("date") for c in (date, fallback) if c in rows.columns]
+    when = F.coalesce(*dates) if dates else F.lit(None).cast("date")
     return (
-        kept.withColumn("recency_multiplier", recency_decay(date, reference_date, half_life_days))
+        kept.withColumn("recency_multiplier", recency_decay(when, reference_date, half_life_days))
         .withColumn("effective_weight", F.col("base_weight") * F.col("recency_multiplier"))
         .where(F.abs("effective_weight") >= min_weight)
     )

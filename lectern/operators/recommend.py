@@ -55,6 +55,19 @@ def candidate_filters(
     return candidates
 
 
+def excluded_counts(
+    vectors: DataFrame, catalog: DataFrame, exclusions: DataFrame, by: str = "user_id", by_work: bool = True
+) -> DataFrame:
+    """(user, _excluded): how many of the vectors' books the exclusions take from each user."""
+    books = vectors.select("book_id")
+    gone = exclusions.select(by, F.col("local_book_id").alias("book_id")).join(books, "book_id", "left_semi").select(by, "book_id")
+    if by_work and "work_id" in catalog.columns:
+        editions = books.join(catalog.select("book_id", "work_id"), "book_id").where(F.col("work_id").isNotNull())
+        others = exclusions.where(F.col("work_id").isNotNull()).select(by, "work_id").distinct().join(editions, "work_id")
+        gone = gone.unionByName(others.select(by, "book_id"))
+    return gone.distinct().groupBy(by).agg(F.count("*").alias("_excluded"))
+
+
 def quality_source(columns: Sequence[str]) -> str | None:
     """The first quality column the candidates have."""
     return next((c for c in QUALITY_COLUMNS if c in columns), None)
@@ -137,13 +150,19 @@ def recommend(
 
     ``profiles`` has the user and a vector, ``vectors`` book_id and a vector of the
     same space, ``exclusions`` the user's local_book_id and work_id.
+
+    The pool holds each reader's ``pool`` nearest books among those that may be recommended: the filters cut the vectors
+    before the search, and the search finds as many books more as the reader has excluded ones. So a reader with many
+    known books or a narrow filter gets ``top`` rows wherever there are so many.
     """
     if pool < top:
         raise ValueError("the candidate pool must be at least as large as the result")
-    nearest = knn_topk(profiles, vectors, pool, by).withColumnRenamed("similarity", "hybrid_similarity").drop("rank")
-    candidates = candidate_join(nearest, catalog)
-    known = exclusion_anti_join(candidates, exclusions, by, by_work)
-    ranked = rerank_minmax(candidate_filters(known, **filters), by, weights, novelty)
+    open_ = id_semi_filter(vectors, candidate_filters(catalog, **filters), "book_id") if filters else vectors
+    asked = profiles.join(excluded_counts(open_, catalog, exclusions, by, by_work), by, "left")
+    found = knn_topk(asked, open_, pool, by, extra="_excluded").withColumnRenamed("similarity", "hybrid_similarity")
+    known = exclusion_anti_join(candidate_join(found.drop("rank"), catalog), exclusions, by, by_work)
+    candidates = top_k(known, [by], [F.col("hybrid_similarity").desc(), F.col("book_id").asc()], pool, "_place").drop("_place")
+    ranked = rerank_minmax(candidates, by, weights, novelty)
     best = output_rank(author_cap(ranked, by, max_per_author), by, top)
     missing = [c for c in ("bayesian_rating", "average_rating") if c not in best.columns]
     for column in missing:

@@ -26,15 +26,16 @@ def _blocks(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))
 
 
-def _score_block(k: int, by: str, item_id: str, step: int = 512):
-    """Top ``k`` items of one item block for every query of one query block."""
+def _score_block(by: str, item_id: str, step: int = 512):
+    """The wanted number of items of one item block for every query of one query block."""
 
     def score(queries: pa.Table, items: pa.Table) -> pa.Table:
         left, right = rows_of(queries["vector"]), rows_of(items["vector"])
-        ids = items["item"].to_numpy()
+        ids, wanted = items["item"].to_numpy(), queries["wanted"].to_numpy()
         asked, found, similarity = [], [], []
         for start in range(0, len(left) if len(right) else 0, step):
             scores = np.round(left[start : start + step] @ right.T, DECIMALS)
+            k = int(wanted[start : start + step].max())
             if len(ids) > k:
                 # everything at least as similar as the k-th: ties are settled later, by id
                 floor = np.partition(scores, -k, axis=1)[:, -k]
@@ -46,7 +47,7 @@ def _score_block(k: int, by: str, item_id: str, step: int = 512):
             row, column, best = row[order], column[order], best[order]
             first = np.r_[0, np.flatnonzero(np.diff(row)) + 1]
             place = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
-            keep = place < k
+            keep = place < wanted[row + start]
             asked.append(row[keep] + start)
             found.append(ids[column[keep]])
             similarity.append(best[keep])
@@ -75,21 +76,26 @@ def knn_topk(
     vector: str = "vector",
     item_block: int = ITEM_BLOCK,
     query_block: int = QUERY_BLOCK,
+    extra: str | None = None,
 ) -> DataFrame:
     """The exact ``k`` most similar items (cosine) per query, ranked, ties by item id.
 
+    ``extra`` names an integer column of the queries: so many items more than ``k`` are found for that query.
+
     Both sides are hashed into blocks of bounded size; every pair of blocks is one
     matrix product that keeps k rows per query, and the kept rows are merged per
     query. Zero, infinite and missing vectors take no part.
     """
-    unit = lambda df, key, name: df.select(F.col(key).alias(name), l2_normalize(vector).alias("vector")).where(
+    unit = lambda df, key, name, *more: df.select(F.col(key).alias(name), l2_normalize(vector).alias("vector"), *more).where(
         F.col("vector").isNotNull()
     )
-    left, right = unit(queries, by, "query"), unit(items, item_id, "item")
+    wanted = (F.lit(k) + F.coalesce(F.col(extra), F.lit(0)) if extra else F.lit(k)).cast("bigint")
+    left, right = unit(queries, by, "query", wanted.alias("wanted")), unit(items, item_id, "item")
     item_blocks = _blocks(items.count(), item_block)
     # small inputs still use every core
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    asked = queries.count()
+    sizes = queries.agg(F.count("*"), F.max(wanted)).first()
+    asked, most = sizes[0], sizes[1] or k
     query_blocks = max(_blocks(asked, query_block), min(_blocks(asked, 64), _blocks(cores, item_blocks)))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
@@ -100,10 +106,14 @@ def knn_topk(
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))
         .applyInArrow(
-            _score_block(k, by, item_id), f"{by} {kinds[0]}, {item_id} {kinds[1]}, similarity double"
+            _score_block(by, item_id), f"{by} {kinds[0]}, {item_id} {kinds[1]}, similarity double"
         )
     )
-    return top_k(found, [by], [F.col("similarity").desc(), F.col(item_id).asc()], k, "rank")
+    best = top_k(found, [by], [F.col("similarity").desc(), F.col(item_id).asc()], most, "rank")
+    if extra is None:
+        return best
+    own = queries.select(F.col(by), wanted.alias("_wanted"))
+    return best.join(own, by).where(F.col("rank") <= F.col("_wanted")).drop("_wanted")
 
 
 def similar_items(

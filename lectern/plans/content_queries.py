@@ -128,18 +128,37 @@ def embedded(inp: Inputs, k: int = 32):
     return docs, fitted, factors, svd.svd_project(factors, weights)
 
 
-@query("truncated_svd")
+@query(
+    "truncated_svd",
+    """SELECT CAST(UNNEST(range(32)) AS INT) AS component, TRUE AS descending, TRUE AS orthonormal, TRUE AS first_holds_the_mean,
+    TRUE AS within_the_rows FROM (SELECT COUNT(DISTINCT book_id) AS n FROM weights) WHERE n > 32""",
+    CONTENT_SQL,
+)
 def truncated_svd(inp):
-    factors = embedded(inp)[2]
-    values = [(i, float(v)) for i, v in enumerate(factors.singular_values)]
-    return inp.spark.createDataFrame(values, "component int, singular_value double")
-
-
-@query("explained_variance")
+    """Invariants of each component. The rows have unit length, so the squared values add up to the documents at most, and
+    the first one holds at least the squared length of the rows' sum over the documents."""
+    docs = documents(inp)
+    fitted, weights = weighted(docs)
+    factors = svd.truncated_svd(weights, fitted.vocabulary.count(), 32)
+    rows = weights.agg(F.count_distinct("book_id")).first()[0]
+    sums = weights.groupBy("term_index").agg(F.sum("weight").alias("s")).agg(F.sum(F.col("s") * F.col("s"))).first()[0]
+    values, gram = factors.singular_values, factors.basis.T @ factors.basis
+    held = [
+        (i, bool(i == 0 or values[i] <= values[i - 1] + 1e-9), bool(abs(gram[i, :i + 1] - [*[0.0] * i, 1.0]).max() < 1e-6),
+         bool(values[0] ** 2 >= sums / rows - 1e-6), bool((values[:i + 1] ** 2).sum() <= rows + 1e-6))
+        for i in range(len(values))
+    ]
+    return inp.spark.createDataFrame(held, "component int, descending boolean, orthonormal boolean, first_holds_the_mean boolean, within_the_rows boolean")
+
+
+@query("explained_variance", "SELECT COUNT(DISTINCT book_id) AS documents, TRUE AS in_range FROM weights", CONTENT_SQL)
 def explained_variance(inp):
-    return inp.spark.createDataFrame([(svd.explained_variance(embedded(inp)[2]),)], "explained_variance_ratio double")
+    _, _, factors, vectors = embedded(inp)
+    share = svd.explained_variance(factors)
+    return vectors.agg(F.count("*").alias("documents")).withColumn("in_range", F.lit(bool(0.0 < share <= 1.0)))
 
 
-@query("svd_project")
+@query("svd_project", "SELECT DISTINCT book_id, CAST(32 AS INT) AS dimensions, 1.0::DOUBLE AS length FROM weights", CONTENT_SQL)
 def svd_project(inp):
-    return embedded(inp)[3]
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    return embedded(inp)[3].select("book_id", F.size("vector").alias("dimensions"), F.round(F.sqrt(squares), 6).alias("length"))

@@ -58,8 +58,28 @@ PERSONAL_SQL = {
     "capped": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, LOWER(TRIM(COALESCE(NULLIF(primary_author, ''), 'Unknown')))
         ORDER BY recommendation_score DESC NULLS LAST, hybrid_similarity DESC, book_id) AS author_place FROM reranked)
         WHERE author_place <= {PER_AUTHOR}""",
-    "recommended": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
+    "ranked": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
         ORDER BY recommendation_score DESC NULLS LAST, hybrid_similarity DESC, book_id) AS rank FROM capped) WHERE rank <= {TOP}""",
+    # the pool of the recommendations: the nearest of those that the user does not know
+    "open_pool": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY hybrid_similarity DESC, book_id) AS place
+        FROM (SELECT p.user_id, h.book_id, ROUND(list_inner_product(p.vector, h.vector), 9) AS hybrid_similarity, s.work_id, s.title,
+        s.primary_author, s.primary_genre, s.language_code, s.ratings_count, s.average_rating
+        FROM profiles p CROSS JOIN hybrid_v h LEFT JOIN shelf_catalog s ON s.book_id = h.book_id) c
+        WHERE NOT EXISTS (SELECT 1 FROM excluded e WHERE e.user_id = c.user_id AND e.local_book_id = c.book_id)
+        AND NOT EXISTS (SELECT 1 FROM excluded e WHERE e.user_id = c.user_id AND e.work_id = c.work_id)) WHERE place <= {POOL}""",
+    "open_scaled": """SELECT *, CASE WHEN MAX(hybrid_similarity) OVER w > MIN(hybrid_similarity) OVER w
+          THEN (hybrid_similarity - MIN(hybrid_similarity) OVER w) / (MAX(hybrid_similarity) OVER w - MIN(hybrid_similarity) OVER w) ELSE 0.0 END AS similarity_component,
+        CASE WHEN MAX(pop) OVER w > MIN(pop) OVER w THEN (pop - MIN(pop) OVER w) / (MAX(pop) OVER w - MIN(pop) OVER w) ELSE 0.0 END AS popularity_component,
+        CASE WHEN MAX(average_rating) OVER w > MIN(average_rating) OVER w
+          THEN (average_rating - MIN(average_rating) OVER w) / (MAX(average_rating) OVER w - MIN(average_rating) OVER w) ELSE 0.0 END AS quality_component
+        FROM (SELECT *, LN(1 + COALESCE(ratings_count, 0)) AS pop FROM open_pool) WINDOW w AS (PARTITION BY user_id)""",
+    "open_reranked": """SELECT *, 1 - popularity_component AS novelty_component,
+        ROUND(0.85 * similarity_component + 0.10 * popularity_component + 0.05 * quality_component, 9) AS recommendation_score FROM open_scaled""",
+    "open_capped": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, LOWER(TRIM(COALESCE(NULLIF(primary_author, ''), 'Unknown')))
+        ORDER BY recommendation_score DESC NULLS LAST, hybrid_similarity DESC, book_id) AS author_place FROM open_reranked)
+        WHERE author_place <= {PER_AUTHOR}""",
+    "recommended": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
+        ORDER BY recommendation_score DESC NULLS LAST, hybrid_similarity DESC, book_id) AS rank FROM open_capped) WHERE rank <= {TOP}""",
     "pool_rows": """SELECT r.*, b.title AS matched_title, b.primary_author AS matched_author, b.primary_genre AS matched_primary_genre,
         effective_weight AS explanation_weight FROM profile_r r JOIN shelf_books b ON b.book_id = r.local_book_id WHERE effective_weight >= 0.2""",
     "pairs": """SELECT p.*, r.rank, r.book_id, r.primary_genre AS rec_genre, r.primary_author AS rec_author,
@@ -142,11 +162,13 @@ def shelf_filter(inp):
 
 @query(
     "lenient_date",
-    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(ts AS DATE) WHEN 1 THEN CAST(ts AS DATE) END AS date_read FROM {events}""",
+    """SELECT event_id, CASE WHEN event_id % 6 < 5 THEN CAST(ts AS DATE) END AS date_read FROM {events}""",
 )
 def lenient_date(inp):
-    n = F.col("event_id") % 3
-    shown = F.when(n == 0, F.date_format("ts", "yyyy/MM/dd")).when(n == 1, F.date_format("ts", "yyyy-MM-dd")).otherwise("someday")
+    n, shown = F.col("event_id") % 6, None
+    for i, pattern in enumerate(("yyyy/MM/dd", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm'Z'", "M/d/yyyy")):
+        shown = (F if shown is None else shown).when(n == i, F.date_format("ts", pattern))
+    shown = shown.otherwise("someday")
     return inp.table("events").select("event_id", text.lenient_date(shown).alias("date_read"))
 
 
@@ -242,16 +264,19 @@ def distribution_counts(inp):
 
 @query(
     "split_by_status",
-    """SELECT 'matched' AS split, COUNT(*) AS rows FROM library_rows
-    UNION ALL SELECT 'cold_start', 0 UNION ALL SELECT 'unmatched', 0
+    """SELECT 'matched' AS split, COUNT(*) AS rows FROM library_rows WHERE library_row_id % 4 > 1
+    UNION ALL SELECT 'cold_start', COUNT(*) FROM library_rows WHERE library_row_id % 4 = 0
+    UNION ALL SELECT 'unmatched', COUNT(*) FROM library_rows WHERE library_row_id % 4 = 1
     UNION ALL SELECT 'profile_books', COUNT(*) FROM library_rows WHERE profile_eligible AND preference_weight <> 0
     UNION ALL SELECT 'exclusion_books', COUNT(*) FROM library_rows WHERE exclusion_from_recommendations""",
     PERSONAL_SQL,
 )
 def split_by_status(inp):
+    n = F.col("library_row_id") % 4
+    status = F.when(n == 0, "cold_start").when(n == 1, "unmatched").otherwise("matched")
     parts = [
         df.agg(F.count("*").alias("rows")).withColumn("split", F.lit(name))
-        for name, df in lib.split_by_status(library_rows(inp)).items()
+        for name, df in lib.split_by_status(library_rows(inp).withColumn("match_status", status)).items()
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -371,7 +396,7 @@ def author_cap(inp):
     return rec.author_cap(reranked(inp), max_per_author=PER_AUTHOR).select("user_id", "book_id", "primary_author")
 
 
-@query("output_rank", "SELECT user_id, book_id, rank FROM recommended", PERSONAL_SQL)
+@query("output_rank", "SELECT user_id, book_id, rank FROM ranked", PERSONAL_SQL)
 def output_rank(inp):
     ranked = rec.output_rank(rec.author_cap(reranked(inp), max_per_author=PER_AUTHOR), top=TOP)
     return big(ranked.select("user_id", "book_id", "rank"), "rank")

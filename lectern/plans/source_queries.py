@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
 
 from lectern.operators import interactions as graph, quality as gates, similarity
 from lectern.plans.catalog_queries import CATALOG_SQL, catalog
-from lectern.plans.content_queries import embedded
+from lectern.operators.library import distribution_counts
+from lectern.plans.content_queries import CONTENT_SQL, embedded
 from lectern.plans.graph_queries import GRAPH_SQL, MIN_USER, core, filtered, training
 from lectern.plans.inputs import Inputs, query, r6
 from lectern.plans.matching_queries import _LIBRARY, export
 from lectern.plans.personal_queries import PERSONAL_SQL, profile, recommended
 from lectern.plans.popularity_queries import POPULARITY_SQL, scored
-from lectern.plans.vector_queries import content_space
+from lectern.plans.vector_queries import VECTOR_SQL, content_space
 from lectern.session import shared_dir
 from lectern.sources import readers, writers
 
@@ -137,29 +139,51 @@ def verify_row_count(inp):
 
 @query(
     "source_inventory",
-    "SELECT 'events' AS source, 'FOUND' AS status, CAST(1 AS BIGINT) AS files UNION ALL SELECT 'absent', 'MISSING', 0",
+    """SELECT 'nations' AS source, 'FOUND' AS status, CAST(1 AS BIGINT) AS files, SUM(LENGTH(line))::BIGINT AS bytes,
+    sha256(sha256(STRING_AGG(line, '' ORDER BY n_nationkey))) AS sha256, TRUE AS dated
+    FROM (SELECT n_nationkey, n_nationkey || ',' || n_name || chr(10) AS line FROM {nation})
+    UNION ALL SELECT 'absent', 'MISSING', 0, 0, NULL, FALSE""",
 )
 def source_inventory(inp):
-    places = {"events": f"{inp.sf_dir}/events.parquet", "absent": f"{inp.sf_dir}/absent.parquet"}
-    return writers.source_inventory(inp.spark, places).select("source", "status", "files")
+    """A table written as one text file, listed with the size and digest that its rows must give, and a source that is not there."""
+    path = _place(inp, "nations.txt")
+    line = F.concat(F.col("n_nationkey").cast("string"), F.lit(","), "n_name")
+    inp.table("nation").orderBy("n_nationkey").select(line.alias("value")).coalesce(1).write.text(path)
+    found = writers.source_inventory(inp.spark, {"nations": path, "absent": f"{path}-absent"})
+    return found.select("source", "status", "files", "bytes", "sha256", F.col("modified").isNotNull().alias("dated"))
 
 
-@query("content_fingerprint")
+@query(
+    "content_fingerprint",
+    """SELECT COUNT(*) AS rows, CAST(SUM(CAST('0x' || substr(md5(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
+    CAST(l_linenumber AS VARCHAR), l_returnflag)), 1, 8) AS BIGINT)) AS BIGINT) AS fingerprint FROM {lineitem}""",
+)
 def content_fingerprint(inp):
-    return writers.content_fingerprint(inp.table("lineitem"))
+    return writers.content_fingerprint(inp.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"))
 
 
 @query(
     "run_metrics",
-    """SELECT 'interactions' AS stage, 'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM interactions
-    UNION ALL SELECT 'interactions', 'users', CAST(COUNT(DISTINCT user_id) AS DOUBLE) FROM interactions
-    UNION ALL SELECT 'interactions', 'mean_rating', ROUND(AVG(CAST(rating AS DOUBLE)), 6) FROM interactions""",
+    """SELECT 'interactions' AS stage, 'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM interactions
+    UNION ALL SELECT 'interactions', 'users', CAST(COUNT(DISTINCT user_id) AS DOUBLE), NULL FROM interactions
+    UNION ALL SELECT 'interactions', 'mean_rating', ROUND(AVG(CAST(rating AS DOUBLE)), 6), NULL FROM interactions
+    UNION ALL SELECT 'interactions', 'density', ROUND(COUNT(*) / (COUNT(DISTINCT user_id) * COUNT(DISTINCT book_id)), 6), NULL FROM interactions
+    UNION ALL SELECT 'interactions', 'setting.min_item', 24.0, '24' UNION ALL SELECT 'interactions', 'setting.policy', NULL, 'skip'
+    UNION ALL SELECT 'interactions', 'seconds', NULL, 'timed'
+    UNION ALL SELECT 'interactions', 'rating.' || rating, CAST(COUNT(*) AS DOUBLE), NULL FROM interactions GROUP BY rating
+    UNION ALL SELECT 'interactions', 'is_read.' || is_read, CAST(COUNT(*) AS DOUBLE), NULL FROM interactions GROUP BY is_read""",
 )
 def run_metrics(inp):
-    measured = inp.view("interactions").agg(
-        F.count("*").alias("rows"), F.count_distinct("user_id").alias("users"), r6(F.avg("rating")).alias("mean_rating")
+    started, rows = time.perf_counter(), inp.view("interactions")
+    measured = rows.agg(
+        F.count("*").alias("rows"), F.count_distinct("user_id").alias("users"), r6(F.avg("rating")).alias("mean_rating"),
+        r6(F.count("*") / (F.count_distinct("user_id") * F.count_distinct("book_id"))).alias("density"),
     )
-    return writers.run_metrics("interactions", measured)
+    shares = distribution_counts(rows, ["rating", "is_read"])
+    metrics = writers.run_metrics("interactions", measured, {"min_item": 24, "policy": "skip"}, time.perf_counter() - started, shares)
+    # the time differs in every run, so only its presence is compared
+    timed = (F.col("metric") == "seconds") & (F.col("value") > 0)
+    return metrics.withColumn("text", F.when(timed, "timed").otherwise(F.col("text"))).withColumn("value", F.when(~timed, F.col("value")))
 
 
 @query(
@@ -198,11 +222,17 @@ def _gate_sql(name: str, observed: str, expected: str, passed: str, source: str)
     return f"SELECT '{name}' AS gate, CAST({observed} AS DOUBLE) AS observed, CAST({expected} AS DOUBLE) AS expected, {passed} AS passed FROM {source}"
 
 
-@query("q_rows", _gate_sql("q_rows", "COUNT(*)", "COUNT(*)", "TRUE", "{orders}"))
+@query(
+    "q_rows",
+    _gate_sql("q_rows", "COUNT(*)", "COUNT(*)", "TRUE", "{orders}") + " UNION ALL "
+    + _gate_sql("q_rows", "COUNT(*) FILTER (o_orderkey % 3 > 0)", "COUNT(*)", "FALSE", "{orders}"),
+)
 def q_rows(inp):
+    """The gate on a whole write, which passes, and on one that lost rows, which does not."""
     path, rows = _place(inp, "orders"), inp.table("orders").select("o_orderkey")
     writers.write_parquet(rows, path)
-    return gates.q_rows(inp.spark.read.parquet(path), rows)
+    written = inp.spark.read.parquet(path)
+    return gates.q_rows(written, rows).unionByName(gates.q_rows(written.where(F.col("o_orderkey") % 3 > 0), rows))
 
 
 @query("q_unique_book", _gate_sql("q_unique_book", "COUNT(*) - COUNT(DISTINCT book_id)", "0", "COUNT(*) = COUNT(DISTINCT book_id)", "catalog_c"), CATALOG_SQL)
@@ -228,13 +258,17 @@ def q_wilson_range(inp):
     return gates.q_wilson_range(scored(inp))
 
 
-@query("q_docs_vectors")
+@query(
+    "q_docs_vectors",
+    _gate_sql("q_docs_vectors", "(SELECT COUNT(DISTINCT book_id) FROM weights)", "COUNT(*)", "(SELECT COUNT(DISTINCT book_id) FROM weights) = COUNT(*)", "texts"),
+    CONTENT_SQL,
+)
 def q_docs_vectors(inp):
     docs, _, _, vectors = embedded(inp)
     return gates.q_docs_vectors(docs, vectors)
 
 
-@query("q_maps")
+@query("q_maps", _gate_sql("q_maps", "COUNT(*) FILTER (item_id IS NULL)", "0", "COUNT(*) > 0", "training"), GRAPH_SQL)
 def q_maps(inp):
     from lectern.operators.collaborative import implicit_als
 
@@ -242,9 +276,21 @@ def q_maps(inp):
     return gates.q_maps(rows, implicit_als(rows)[1], "item_id")
 
 
-@query("q_self_neighbour", _gate_sql("q_self_neighbour", "0", "0", "TRUE", "(SELECT 1)"))
+_NEAREST_OTHER = """(SELECT a.book_id, MAX(ROUND(list_inner_product(a.vector, b.vector), 9)) AS nearest
+    FROM content_n a JOIN content_n b ON a.book_id <> b.book_id GROUP BY a.book_id)"""
+
+
+@query(
+    "q_self_neighbour",
+    _gate_sql("q_self_neighbour", "COUNT(*) FILTER (ABS(SQRT(list_inner_product(vector, vector)) - 1) > 1e-6)", "0", "COUNT(*) > 0", "content_n")
+    + " UNION ALL " + _gate_sql("q_self_neighbour", "COUNT(*) FILTER (nearest < 1 - 1e-6)", "0", "COUNT(*) FILTER (nearest < 1 - 1e-6) = 0", _NEAREST_OTHER),
+    VECTOR_SQL,
+)
 def q_self_neighbour(inp):
-    return gates.q_self_neighbour(similarity.similar_items(content_space(inp), 1, include_self=True))
+    """The gate on neighbours that include the item itself, and on those that leave it out."""
+    space = content_space(inp)
+    own = gates.q_self_neighbour(similarity.similar_items(space, 1, include_self=True))
+    return own.unionByName(gates.q_self_neighbour(similarity.similar_items(space, 1)))
 
 
 @query("q_nonempty", _gate_sql("q_nonempty", "COUNT(*)", "1", "COUNT(*) >= 1", "profile_r"), PERSONAL_SQL)

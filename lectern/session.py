@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -52,9 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a Parquet table in the shared folder.
+
+    It survives the loss of any executor, is computed once (a checkpoint counts its rows first and computes them again for
+    the files), and later steps read single columns and know its size. ``sweep`` removes the tables.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/lectern-stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    spark.sparkContext.__dict__.setdefault("_lectern_stages", []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Removes the tables that ``cut_lineage`` has written; call it when their results have been read."""
+    for path in spark.sparkContext.__dict__.pop("_lectern_stages", []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ship_package(spark: SparkSession) -> None:

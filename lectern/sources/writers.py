@@ -35,15 +35,11 @@ def write_multi_format(rows: DataFrame, folder: str, name: str, policy: str = "e
     """The same rows as Parquet, CSV and JSON records; nested columns as JSON in CSV."""
     paths = {kind: f"{folder}/{name}.{kind}" for kind in ("parquet", "csv", "json")}
     nested = [f.name for f in rows.schema if f.dataType.typeName() in ("array", "map", "struct")]
-    flat = rows.withColumns({c: F.to_json(c) for c in nested}) if nested else rows
-    held = rows.persist()
-    try:
-        write_parquet(held, paths["parquet"], policy=policy)
-        mode = output_policy(policy)
-        flat.write.mode(mode).option("header", True).option("escape", '"').csv(paths["csv"])
-        held.write.mode(mode).option("ignoreNullFields", False).json(paths["json"])
-    finally:
-        held.unpersist()
+    write_parquet(rows, paths["parquet"], policy=policy)
+    held, mode = rows.sparkSession.read.schema(rows.schema).parquet(paths["parquet"]), output_policy(policy)
+    flat = held.withColumns({c: F.to_json(c) for c in nested}) if nested else held
+    flat.write.mode(mode).option("header", True).option("escape", '"').csv(paths["csv"])
+    held.write.mode(mode).option("ignoreNullFields", False).json(paths["json"])
     return paths
 
 
@@ -56,13 +52,10 @@ def verify_row_count(spark: SparkSession, path: str, expected: int) -> int:
 
 
 def source_inventory(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """Per source: found or missing, files, bytes and latest modification.
-
-    Only the listing is read, never the contents.
-    """
+    """Per source: found or missing, files, bytes, latest modification, and the SHA-256 over its files' digests by path."""
     from pyspark.errors import AnalysisException
 
-    empty = spark.createDataFrame([], "source string, path string, length bigint, modified timestamp")
+    empty = spark.createDataFrame([], "source string, path string, length bigint, modified timestamp, digest string")
     listed = empty
     for name, path in sources.items():
         try:
@@ -70,38 +63,60 @@ def source_inventory(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
         except AnalysisException:
             continue
         listed = listed.unionByName(
-            files.select(F.lit(name).alias("source"), "path", "length", F.col("modificationTime").alias("modified"))
+            files.select(F.lit(name).alias("source"), "path", "length", F.col("modificationTime").alias("modified"),
+                         F.sha2("content", 256).alias("digest"))
         )
     stats = listed.groupBy("source").agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modified").alias("modified")
+        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modified").alias("modified"),
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "digest"))), lambda f: f["digest"]), ""), 256).alias("sha256"),
     )
     wanted = spark.createDataFrame(list(sources.items()), "source string, location string")
     return wanted.join(stats, "source", "left").select(
         "source", "location", F.when(F.col("files") > 0, "FOUND").otherwise("MISSING").alias("status"),
-        F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified",
+        F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified", "sha256",
     )
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 per file, for files that fit one binary value (2 GB)."""
+    """SHA-256 per file of up to 2 GB, the limit of a binary value; compare larger ones by ``content_fingerprint``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 def content_fingerprint(rows: DataFrame) -> DataFrame:
-    """Order-insensitive fingerprint of a dataset of any size."""
-    return rows.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 31))), F.lit(0)).alias("fingerprint"),
-    )
+    """Order-insensitive fingerprint of a dataset of any size: rows, and the sum of 32 bits of each row's MD5.
+
+    A row is its columns as text in order, nulls as a zero byte, joined by the unit separator.
+    """
+    row = F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in rows.columns))
+    bits = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")
+    return rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).alias("fingerprint"))
 
 
-def run_metrics(stage: str, measured: DataFrame) -> DataFrame:
-    """A one-row table of measurements as (stage, metric, value) rows."""
-    pairs = F.array(
-        *(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in measured.columns)
-    )
-    return measured.select(F.explode(pairs).alias("m")).select(F.lit(stage).alias("stage"), "m.metric", "m.value")
+def run_metrics(
+    stage: str, measured: DataFrame, settings: dict[str, object] | None = None, seconds: float | None = None,
+    distributions: DataFrame | None = None,
+) -> DataFrame:
+    """A one-row table of measurements as (stage, metric, value, text) rows.
+
+    ``settings`` come as ``setting.<name>`` with their text, the stage's wall time as ``seconds``, and the rows of
+    ``distribution_counts`` as ``<column>.<value>`` with their counts.
+    """
+    number = lambda name, value: F.struct(
+        F.lit(name).alias("metric"), value.cast("double").alias("value"), F.lit(None).cast("string").alias("text"))
+    pairs = [number(c, F.col(c)) for c in measured.columns]
+    pairs += [number("seconds", F.lit(seconds))] if seconds is not None else []
+    pairs += [
+        F.struct(F.lit(f"setting.{k}").alias("metric"), F.lit(str(v)).try_cast("double").alias("value"), F.lit(str(v)).alias("text"))
+        for k, v in (settings or {}).items()
+    ]
+    rows = measured.select(F.explode(F.array(*pairs)).alias("m")).select(F.lit(stage).alias("stage"), "m.metric", "m.value", "m.text")
+    if distributions is None:
+        return rows
+    counted = distributions.select(
+        F.lit(stage).alias("stage"), F.concat("column", F.lit("."), F.coalesce("value", F.lit(""))).alias("metric"),
+        F.col("rows").cast("double").alias("value"), F.lit(None).cast("string").alias("text"))
+    return rows.unionByName(counted)
 
 
 def markdown_entry(columns: list[str]) -> Column:
