@@ -175,14 +175,30 @@ def limit_candidates(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     return top_k(df, keys, popularity_order(), limit, "candidate_rank")
 
 
+def within_tokens(a: str, b: str) -> Column:
+    """All tokens of one text are tokens of the other, and neither is empty: the set-wise score is 100."""
+    left, right = F.split(F.col(a), " "), F.split(F.col(b), " ")
+    inside = (F.size(F.array_except(left, right)) == 0) | (F.size(F.array_except(right, left)) == 0)
+    return (F.col(a) != "") & (F.col(b) != "") & inside
+
+
+def pair_scores(pairs: DataFrame, a: str, b: str, score, out: str) -> DataFrame:
+    """Each distinct pair of texts with its score; equal texts and token subsets never reach Python."""
+    different = cut_lineage(pairs.select(a, b).distinct().withColumn("_perfect", within_tokens(a, b)))
+    perfect = different.where("_perfect").select(a, b, F.lit(100.0).alias(out))
+    return perfect.unionByName(different.where("not _perfect").select(a, b, score(a, b).alias(out)))
+
+
 def score_candidates(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Title, author and blended score of each candidate; a pair of texts is scored once, however many editions share it."""
     texts = catalog.select(
         "book_id", normalize_text("title").alias("c_title"), normalize_text("primary_author").alias("c_author")
     )
-    scored = candidates.join(texts, "book_id").withColumns(
-        {"title_score": title_score("q_title", "c_title"), "author_score": author_score("q_author", "c_author")}
-    )
-    return scored.withColumn("score", fuzzy_score()).drop("c_title", "c_author")
+    named = cut_lineage(candidates.join(texts, "book_id"))
+    titles = pair_scores(named, "q_title", "c_title", title_score, "title_score")
+    authors = pair_scores(named, "q_author", "c_author", author_score, "author_score")
+    scored = named.join(titles, ["q_title", "c_title"]).join(authors, ["q_author", "c_author"])
+    return scored.withColumn("score", fuzzy_score()).select(*candidates.columns, "title_score", "author_score", "score")
 
 
 def argmax_match(scored: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,10 +8,13 @@ from lectern.functions import text
 from lectern.operators import enrichment as enr, library as lib, matching as ops
 from lectern.plans.content_queries import embedded
 from lectern.plans.inputs import Inputs, big, query
+from lectern.session import cut_lineage
 
 LIMIT = 250
 _FOLD = "TRIM(REGEXP_REPLACE(REPLACE(LOWER(strip_accents(COALESCE({0}, ''))), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
 _WORDS = "list_filter(string_split({0}, ' '), lambda t: LENGTH(t) >= 3)[1:{1}]"
+_INSIDE = """({0} <> '' AND {1} <> '' AND (list_has_all(string_split({0}, ' '), string_split({1}, ' '))
+    OR list_has_all(string_split({1}, ' '), string_split({0}, ' '))))"""
 
 MATCH_SQL = {
     # catalog of documents: ISBN-like keys, popularity from the labels of the text
@@ -37,6 +40,18 @@ MATCH_SQL = {
         FROM request_words JOIN editions_d ON is_canonical_edition
         AND (len(t) = 0 OR len(list_filter(t, lambda x: contains(LOWER(COALESCE(title, '')), x))) > 0)
         AND (len(a) = 0 OR len(list_filter(a, lambda x: contains(LOWER(COALESCE(primary_author, '')), x))) > 0)) WHERE candidate_rank <= {LIMIT}""",
+    # the score is 100 exactly where one side's tokens are all on the other side, title and (if named) author
+    "folded": f"SELECT *, {_FOLD.format('title')} AS c_title, {_FOLD.format('primary_author')} AS c_author FROM editions_d",
+    "judged": f"""SELECT q_title, q_author, book_id, candidate_rank, {_INSIDE.format('q_title', 'c_title')} AS title_perfect,
+        {_INSIDE.format('q_author', 'c_author')} AS author_perfect FROM blocked JOIN folded USING (book_id)""",
+    "isbn_hits": """SELECT input_id, COALESCE(CASE WHEN e.is_canonical_edition THEN e.book_id END, (SELECT c.book_id FROM editions_d c WHERE c.is_canonical_edition AND c.work_id = e.work_id
+        ORDER BY ratings_count DESC NULLS LAST, bayesian_rating DESC NULLS LAST, c.book_id LIMIT 1), e.book_id) AS book_id
+        FROM asked JOIN isbn_keys k ON isbn_key = REGEXP_REPLACE(UPPER(isbn), '[^0-9X]', '', 'g') JOIN editions_d e ON e.book_id = k.book_id""",
+    "perfect_hits": f"""SELECT q_title, q_author, book_id, ROW_NUMBER() OVER (PARTITION BY q_title, q_author
+        ORDER BY ratings_count DESC NULLS LAST, bayesian_rating DESC NULLS LAST, book_id) AS place FROM (
+        SELECT q_title, q_author, book_id FROM blocked UNION SELECT q_title, q_author, book_id FROM requests JOIN folded
+        ON is_canonical_edition AND q_title = c_title AND q_title <> '') JOIN folded USING (book_id)
+        WHERE {_INSIDE.format('q_title', 'c_title')} AND (q_author = '' OR {_INSIDE.format('q_author', 'c_author')})""",
 }
 
 
@@ -133,15 +148,38 @@ def scored_candidates(inp: Inputs):
     return ops.score_candidates(ops.blocked_fuzzy_join(ops.match_requests(asked(inp)), catalog, LIMIT), catalog)
 
 
-@query("fuzzy_score")
+_PERFECT = "title_perfect AND (q_author = '' OR author_perfect)"
+
+
+@query(
+    "fuzzy_score",
+    f"""SELECT q_title, q_author, book_id, title_perfect, author_perfect, CASE WHEN {_PERFECT} THEN 100.0::DOUBLE END AS full_score,
+    TRUE AS in_range FROM judged""",
+    MATCH_SQL,
+)
 def fuzzy_score(inp):
-    return scored_candidates(inp).select("q_title", "q_author", "book_id", "title_score", "author_score", "score")
+    """Which scores of the blocked pairs are full, and whether the others lie below."""
+    shown = scored_candidates(inp)
+    full = F.col("score") > 100 - 1e-9
+    parts = ("title_score", "author_score", "score")
+    inside = F.forall(F.array(*parts), lambda s: s.between(0, 100 + 1e-9)) & (F.col("score") <= F.greatest("title_score", "author_score") + 1e-9)
+    return shown.select(
+        "q_title", "q_author", "book_id", (F.col("title_score") == 100).alias("title_perfect"),
+        (F.col("author_score") == 100).alias("author_perfect"), F.when(full, 100.0).alias("full_score"), inside.alias("in_range"),
+    )
 
 
-@query("argmax_match")
+@query(
+    "argmax_match",
+    f"""SELECT q_title, q_author, MAX(CASE WHEN {_PERFECT} THEN 1 ELSE 0 END) = 1 AS perfect,
+    ARG_MIN(book_id, candidate_rank) FILTER ({_PERFECT}) AS book_id FROM judged GROUP BY q_title, q_author""",
+    MATCH_SQL,
+)
 def argmax_match(inp):
+    """The winner of each request that has a full score."""
     best = ops.argmax_match(scored_candidates(inp), ["q_title", "q_author"])
-    return best.select("q_title", "q_author", "book_id", "score")
+    full = F.col("score") > 100 - 1e-9
+    return best.select("q_title", "q_author", full.alias("perfect"), F.when(full, F.col("book_id")).alias("book_id"))
 
 
 def matched(inp: Inputs):
@@ -149,9 +187,19 @@ def matched(inp: Inputs):
     return ops.match_books(asked(inp), editions(inp), ["input_id"], limit=LIMIT, volumes=volumes)
 
 
-@query("match_books")
+@query(
+    "match_books",
+    f"""SELECT a.input_id, CASE WHEN i.book_id IS NOT NULL THEN '{ops.ISBN_EXACT}' WHEN p.book_id IS NOT NULL THEN '{ops.TITLE_FUZZY}' END AS sure_method,
+    COALESCE(i.book_id, p.book_id) AS sure_book_id FROM asked a LEFT JOIN isbn_hits i ON i.input_id = a.input_id
+    LEFT JOIN perfect_hits p ON p.place = 1 AND p.q_title = {_FOLD.format('a.title')} AND p.q_author = {_FOLD.format('a.author')}""",
+    MATCH_SQL,
+)
 def match_books(inp):
-    return matched(inp).select("input_id", "status", "source", "match_method", "confidence", "local_book_id")
+    """Every input, with the method and the book of matches by ISBN and of full title scores."""
+    sure = (F.col("confidence") >= 100) & F.col("match_method").isin(ops.ISBN_EXACT, ops.TITLE_FUZZY)
+    return matched(inp).select(
+        "input_id", F.when(sure, F.col("match_method")).alias("sure_method"), F.when(sure, F.col("local_book_id")).alias("sure_book_id")
+    )
 
 
 @query("match_record")
@@ -243,14 +291,40 @@ def part_catalog(inp: Inputs):
     )
 
 
+def imported(inp: Inputs):
+    return lib.import_library(cleaned(inp), part_catalog(inp), ["user_id"], limit=LIMIT)
+
+
 @query("import_library")
 def import_library(inp):
-    imported = lib.import_library(cleaned(inp), part_catalog(inp), ["user_id"], limit=LIMIT)
-    return imported.select(
+    return imported(inp).select(
         "user_id", "library_row_id", "input_title", "input_author", "match_status", "match_method", "match_confidence", "local_book_id"
     )
 
 
+@query(
+    "import_report",
+    """SELECT COUNT(*) AS imported_rows, COUNT(*) FILTER (exclusive_shelf IN ('read', 'currently-reading')) AS profile_eligible_rows,
+    COUNT(*) AS recommendation_exclusion_rows, TRUE AS adds_up, TRUE AS rate_fits FROM clean""",
+    _CLEAN,
+)
+def import_report(inp):
+    """The report over all outputs of an import: the three statuses add up, and the tables cut from it agree with it."""
+    rows = cut_lineage(imported(inp))
+    cut = lib.split_by_status(rows, ["user_id"])
+    sizes = {name: df.agg(F.count("*")).scalar() for name, df in cut.items()}
+    report = lib.import_report(rows)
+    agrees = (
+        (F.col("matched_rows") == sizes["matched"]) & (F.col("cold_start_rows") == sizes["cold_start"])
+        & (F.col("unmatched_rows") == sizes["unmatched"]) & (F.col("recommendation_exclusion_rows") == sizes["exclusion_books"])
+        & (F.col("matched_rows") + F.col("cold_start_rows") + F.col("unmatched_rows") == F.col("imported_rows"))
+    )
+    return report.select(
+        "imported_rows", "profile_eligible_rows", "recommendation_exclusion_rows", agrees.alias("adds_up"),
+        (F.abs(F.col("match_rate") * F.col("imported_rows") - F.col("matched_rows")) < 1e-6).alias("rate_fits"),
+    )
+
+
 @query(
     "resume_anti_join",
     "SELECT user_id, library_row_id FROM clean WHERE NOT EXISTS (SELECT 1 FROM {events} e WHERE e.user_id = clean.user_id AND e.event_id = clean.library_row_id)",

@@ -2,6 +2,7 @@
 
 from lectern.plans import (  # noqa: F401
     catalog_queries,
+    chain_queries,
     content_queries,
     graph_queries,
     matching_queries,
