@@ -17,6 +17,8 @@ from lectern.operators.ranking import dense_index, top_k
 # rows per block; a block of 20 000 x 192 doubles is 30 MB
 ITEM_BLOCK = 20_000
 QUERY_BLOCK = 20_000
+# pairs of blocks share partitions beyond so many
+MOST_PARTITIONS = 50_000
 # similarities are compared at this many decimals, so that the order of additions
 # in a block product never decides a rank
 DECIMALS = 9
@@ -102,9 +104,11 @@ def knn_topk(
     left = left.withColumn("qb", own("query", query_blocks)).withColumn("ib", spread(item_blocks))
     right = right.withColumn("ib", own("item", item_blocks)).withColumn("qb", spread(query_blocks))
     kinds = (queries.schema[by].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
+    # a partition for each pair of blocks, however the session is set
+    parts = min(item_blocks * query_blocks, MOST_PARTITIONS)
     found = (
-        left.groupBy("qb", "ib")
-        .cogroup(right.groupBy("qb", "ib"))
+        left.repartition(parts, "qb", "ib").groupBy("qb", "ib")
+        .cogroup(right.repartition(parts, "qb", "ib").groupBy("qb", "ib"))
         .applyInArrow(
             _score_block(by, item_id), f"{by} {kinds[0]}, {item_id} {kinds[1]}, similarity double"
         )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -39,14 +42,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. A session without one gets
-    a temporary folder only when it runs on a single machine (``local[...]``).
+    a temporary folder only when it runs in one process (``local[...]``); that folder goes when the driver ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.match(r"local($|\[)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="lectern-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return context.getCheckpointDir() or folder

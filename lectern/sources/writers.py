@@ -23,11 +23,16 @@ def write_parquet(rows: DataFrame, path: str, compression: str = "zstd", policy:
 
 def write_partitioned(
     rows: DataFrame, path: str, by: str = "user_bucket", compression: str = "zstd", policy: str = "error",
-    files_per_bucket: int = 1,
+    files_per_bucket: int | None = None, rows_per_file: int = 5_000_000,
 ) -> None:
-    """Hive layout by bucket; a heavy bucket may be spread over several files."""
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_bucket))
-    placed = rows.repartition(F.col(by), spread) if files_per_bucket > 1 else rows.repartition(by)
+    """Hive layout by bucket. A bucket has as many files, and write tasks, as its counted rows need, or ``files_per_bucket``."""
+    if files_per_bucket is None:
+        needed = rows.groupBy(by).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files"))
+        rows = rows.join(needed, by)
+        spread = F.pmod(F.xxhash64(*rows.columns), F.col("_files"))
+    else:
+        spread = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_bucket))
+    placed = rows.withColumn("_file", spread).repartition(F.col(by), F.col("_file")).drop("_file", "_files")
     placed.write.mode(output_policy(policy)).option("compression", compression).partitionBy(by).parquet(path)
 
 

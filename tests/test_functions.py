@@ -134,3 +134,13 @@ def test_lcs_against_table():
             for j, y in enumerate(b):
                 table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
         assert fuzzy._lcs(a, b) == table[-1, -1]
+
+
+def test_dates_with_times(spark):
+    from lectern.functions.text import lenient_date
+
+    shown = ["2020-01-05 10:00:00", "2020-01-05T10:00Z", "2020/01/05", "2020-1-5", "1/5/2020 9:30 PM", "2020-01-05T10:00:00.5+02:00", " 2020-01-05 ",
+             "2020-13-05", "someday", "2020-01-05 soon", "", None]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(shown)], "i int, s string").orderBy("i")
+    got = [str(r[0]) for r in rows.select(lenient_date("s")).collect()]
+    assert got == ["2020-01-05"] * 7 + ["None"] * 5

@@ -138,7 +138,7 @@ def test_volumes(spark):
     assert (v["thumbnail_url"], v["small_thumbnail_url"]) == ("https://m/http://n", "https://s")
     assert (v["authors"], v["text_reading_modes"], v["is_ebook"], v["average_rating"]) == ("A | B", True, False, 4.0)
     assert rows[2]["authors"] == "" and rows[2]["title"] is None and rows[3]["google_volume_id"] == ""
-    assert len(v) == 28
+    assert len(v) == 30 and v["raw_query"] is None and v["fetched_at_utc"] is None
 
 
 def test_requests_and_cache(spark):
@@ -165,3 +165,13 @@ def test_requests_and_cache(spark):
     assert [r["cache_key"] for r in enr.cache_expire(cache, now).collect()] == ["b"]
     asked = spark.createDataFrame([("a",), ("b",), ("c",)], "cache_key string")
     assert {r["cache_key"]: r["response_json"] for r in enr.cache_lookup(asked, cache, now).collect()} == {"a": None, "b": "keep", "c": None}
+
+
+def test_exact_titles_beyond_the_limit(spark):
+    """A book named by a common word is found although more popular ones share the word."""
+    rows = [(i, i, f"Common story {i}", "Someone", 1000 - i, 1.0, True) for i in range(30)] + [(99, 99, "Common", "Nobody Known", 1, 1.0, True)]
+    catalog = spark.createDataFrame(rows, "book_id bigint, work_id bigint, title string, primary_author string, ratings_count bigint, bayesian_rating double, is_canonical_edition boolean")
+    catalog = catalog.withColumns({"isbn": F.lit(None).cast("string"), "isbn13": F.lit(None).cast("string")})
+    asked = spark.createDataFrame([(1, "common", "Nobody Known", None)], "input_id int, title string, author string, isbn string")
+    got = ops.local_match(asked, catalog, ["input_id"], limit=3).collect()
+    assert [(r.book_id, r.score) for r in got] == [(99, 100.0)]

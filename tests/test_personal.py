@@ -197,3 +197,26 @@ def test_explain(spark):
 def test_reason(spark):
     df = spark.createDataFrame([(0.12345, "sf", None, 3.125), (0.5, " ", None, None)], "hybrid_similarity double, primary_genre string, bayesian_rating double, average_rating double")
     assert [r[0] for r in df.select(rec.recommendation_reason()).collect()] == ["hybrid similarity 0.123; genre: sf; rating 3.12", "hybrid similarity 0.500"]
+
+
+@pytest.mark.parametrize("filters", [{}, {"genre": "odd"}])
+def test_readers_with_many_known_books_get_full_lists(spark, filters):
+    """40 of the 50 nearest books are known or of the wrong genre, and the pool is small: the list is still full."""
+    rng = random.Random(3)
+    books = [(b, [1.0, b / 100 + rng.random() / 1000], b, "odd" if b % 2 else "even", f"a{b}", b) for b in range(100)]
+    frame = spark.createDataFrame(books, "book_id bigint, vector array<double>, work_id bigint, primary_genre string, primary_author string, ratings_count bigint")
+    readers = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.5])], "user_id bigint, vector array<double>")
+    known = spark.createDataFrame([(1, b, b) for b in range(40)], "user_id bigint, local_book_id bigint, work_id bigint")
+    got = rec.recommend(readers, frame.select("book_id", "vector"), frame.drop("vector"), known, pool=10, top=10, max_per_author=0, **filters).collect()
+    for user in (1, 2):
+        found = {r.book_id for r in got if r.user_id == user}
+        allowed = [b for b in range(100) if (b >= 40 or user == 2) and (b % 2 or not filters)]
+        by_angle = sorted(allowed, key=lambda b: -(1 + books[b][1][1] * (0.5 if user == 2 else 0)) / (1 + books[b][1][1] ** 2) ** 0.5)
+        assert found == set(by_angle[:10])
+
+
+def test_added_date_stands_in_for_the_reading_date(spark):
+    rows = spark.createDataFrame([(1, 1.0, None, "2024-01-01"), (2, 1.0, "2024-01-31", "2020-01-01"), (3, 1.0, None, None)],
+                                 "library_row_id int, preference_weight double, date_read string, date_added string")
+    got = {r.library_row_id: round(r.recency_multiplier, 6) for r in prof.profile_rows(rows, "2024-01-31", 30.0).collect()}
+    assert got == {1: 0.5, 2: 1.0, 3: 1.0}

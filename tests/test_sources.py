@@ -105,7 +105,10 @@ def test_inventory_and_fingerprint(spark, tmp_path):
 
 def test_metrics_and_markdown(spark):
     measured = spark.range(4).agg(F.count("*").alias("rows"), F.max("id").alias("top"))
-    assert {tuple(r) for r in writers.run_metrics("s", measured).collect()} == {("s", "rows", 4.0), ("s", "top", 3.0)}
+    assert {tuple(r) for r in writers.run_metrics("s", measured).collect()} == {("s", "rows", 4.0, None), ("s", "top", 3.0, None)}
+    shares = spark.createDataFrame([("shelf", "read", 3), ("shelf", None, 1)], "column string, value string, rows bigint")
+    told = {tuple(r)[1:] for r in writers.run_metrics("s", measured, {"top": 5, "policy": "skip"}, 1.5, shares).collect()}
+    assert told >= {("setting.top", 5.0, "5"), ("setting.policy", None, "skip"), ("seconds", 1.5, None), ("shelf.read", 3.0, None), ("shelf.", 1.0, None)}
     told = spark.createDataFrame([(1, 2, "T", None, " ", 0.5, "Why.")], "user_id int, rank int, title string, primary_author string, primary_genre string, recommendation_score double, explanation string")
     assert writers.markdown_report(told).first()["markdown"] == "## 2. T\n\n**Author:** Unknown author\n**Model:** recommendation score 0.500\n\nWhy.\n"
 
