@@ -28,6 +28,8 @@ BITS = 64
 HOT_BUCKET = 200_000
 #: Buckets of up to so many members are compared by shifting the sorted rows.
 SMALL_BUCKET = 24
+#: Smaller inputs are planned as if they had so many fingerprints, so that probes a fingerprint don't jump as they grow.
+PLANNED = 1 << 20
 #: Cost of writing, moving and sorting one probe, in pairs compared.
 PROBE_COST = 400.0
 
@@ -269,7 +271,8 @@ def links(nodes: DataFrame, radius: int = 3, wide: int | None = None) -> DataFra
     """
     names = nodes.columns
     n, both = bit_statistics(nodes)
-    probes = probe(nodes, plan(n, both, radius), names)
+    most = max(n, PLANNED)
+    probes = probe(nodes, plan(most, both * (most / max(n, 1)), radius), names)
     limit = wide if wide is not None else BITS * len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
