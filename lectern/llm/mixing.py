@@ -59,21 +59,18 @@ def _rake(cells: DataFrame, dimension: str, targets: str) -> DataFrame:
 
 def fit(cells: DataFrame, mix: Mix) -> DataFrame:
     """(source, language, topic, tokens, weight): the raked weights of the cells (source, language, topic, tokens)."""
-    everything = Window.partitionBy(F.lit(1))
-    total = F.sum("tokens").over(everything)
-    cells = cells.withColumn("total", total)
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
     for d in DIMENSIONS:
-        own = F.sum("tokens").over(Window.partitionBy(d))
+        own = cells.groupBy(d).agg(F.sum("tokens").alias("own"))
         if d in mix.targets:
             given = F.create_map(*(F.lit(x) for pair in mix.targets[d].items() for x in pair))
-            share = F.coalesce(F.element_at(given, F.col(d)), F.lit(0.0))
-            raw = share * F.col("tokens") / own  # summed over the cells of a value: its share
+            raw = F.coalesce(F.element_at(given, F.col(d)), F.lit(0.0))
         else:
-            raw = F.pow(own / F.col("total"), F.lit(mix.powers[d])) * F.col("tokens") / own
-        cells = cells.withColumn(f"raw_{d}", F.when(own > 0, raw).otherwise(0.0))
-        cells = cells.withColumn(f"target_{d}", F.when(
-            F.sum(f"raw_{d}").over(everything) > 0,
-            F.sum(f"raw_{d}").over(Window.partitionBy(d)) / F.sum(f"raw_{d}").over(everything) * F.col("total") * F.lit(mix.budget)).otherwise(0.0))
+            raw = F.pow(F.col("own") / F.lit(max(total, 1)), F.lit(mix.powers[d]))
+        margin = own.select(d, F.when(F.col("own") > 0, raw).otherwise(0.0).alias("raw"))
+        whole = margin.agg(F.sum("raw")).first()[0] or 1.0
+        target = F.col("raw") / F.lit(float(whole)) * F.lit(total) * F.lit(mix.budget)
+        cells = cells.join(margin.select(d, target.alias(f"target_{d}")), d)
     columns = [*DIMENSIONS, "tokens", *(f"target_{d}" for d in DIMENSIONS)]
     cells = store(cells.select(*columns, (F.col("tokens") * F.lit(mix.budget)).cast("double").alias("weight")), "cells")
     for done in range(1, mix.rounds + 1):

@@ -176,11 +176,9 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     counts = counted.groupBy("language", "kind", "name").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("language", "kind").orderBy(F.desc("n"), "name")
     top = store(counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(rules.common_words, len(CLASSES))), "words")
-    totals = Window.partitionBy(F.lit(1))
-    shares = (
-        top.groupBy("language").agg(F.sum(F.when(F.col("kind") == "total", F.col("n"))).alias("words"))
-        .withColumn("share", F.col("words") / F.sum("words").over(totals)).where(F.col("share") >= rules.least_share)
-    )
+    totals = top.where(F.col("kind") == "total")
+    least = rules.least_share * (totals.agg(F.sum("n")).first()[0] or 0)
+    shares = totals.where(F.col("n") >= least)
     found: dict[str, dict] = {}
     for r in top.join(shares.select("language"), "language").orderBy("language", "kind", "place").collect():
         found.setdefault(r.language, {"class": {}, "word": {}, "total": {}})[r.kind][r.name] = r.n
