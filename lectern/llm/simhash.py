@@ -47,11 +47,10 @@ def _wider(hashes: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: bytes, shingle: int = 3, words: int = 1) -> list[int]:
-    """``words`` times 64 bits: a bit is 1 if more than half of the shingles' hashes have it."""
-    tokens = text.lower().split()
+def shingle_hashes(tokens: list[bytes], shingle: int) -> np.ndarray:
+    """The hash of each run of ``shingle`` words; fewer words are one run, none has no hash."""
     if not tokens:
-        return [0] * words
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     if len(tokens) < shingle:
         starts, ends = [0], [len(joined)]
@@ -60,7 +59,14 @@ def fingerprint(text: bytes, shingle: int = 3, words: int = 1) -> list[int]:
         stops = np.cumsum(lengths + 1) - 1
         starts, ends = (stops - lengths)[:len(tokens) - shingle + 1].tolist(), stops[shingle - 1:].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends)), dtype=np.uint64, count=len(starts))
+    return np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends)), dtype=np.uint64, count=len(starts))
+
+
+def fingerprint(text: bytes, shingle: int = 3, words: int = 1) -> list[int]:
+    """``words`` times 64 bits: a bit is 1 if more than half of the shingles' hashes have it."""
+    hashes = shingle_hashes(text.lower().split(), shingle)
+    if not len(hashes):
+        return [0] * words
     counts = np.zeros((words, BITS), dtype=np.int64)
     for at in range(0, len(hashes), 1 << 15):
         block = hashes[at:at + (1 << 15)]
@@ -350,14 +356,15 @@ def near_duplicates(
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 12,
-    words: int = 4, similarity: float | None = 0.8,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
 ) -> DataFrame:
     """The rows whose id is the smallest of their component (of repeated rows with that id, all), with all columns.
 
-    Rows with a null id stay. Five-word shingles at a similarity of 0.8 differ in 10 of 64 bits on average; a radius of 12 finds
-    about nine of ten such pairs, and nearly all above 0.85.
+    Links are pairs whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, compared exactly (``jaccard``);
+    fingerprints take no part. Rows with a null id stay.
     """
-    found = store(near_duplicates(docs, id_col, text_col, shingle, radius, words, similarity)
+    from lectern.llm import jaccard
+
+    found = store(jaccard.near_duplicates(docs, id_col, text_col, shingle, similarity)
                   .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "gone")
     return docs.join(found, F.col(id_col) == F.col("__gone"), "left_anti")
