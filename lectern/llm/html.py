@@ -1,8 +1,9 @@
 """Main text of web pages, with content containers agreed on by all pages of a host.
 
-Each page names the deepest container that holds nearly all of its good text (blocks outside boilerplate that aren't mostly links), by
-its generalised path: tags and class names from the root, digits masked. Spark counts these votes per host. The second pass
-takes the text below the winning path of the page's host; a page without such a container keeps its own.
+Each page names the deepest container that holds all of its good text (blocks outside boilerplate that aren't mostly links), or
+the article or main around it, by its generalised path: tags and class names from the root, digits masked. Spark counts these
+votes per host. The second pass takes the text below the winning path of the page's host; a page without such a container, or
+with good text outside of it, keeps its own. Only a page too short to tell leaves text out because its host says so.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ BAD_WORDS = frozenset(
     "footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related "
     "replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split())
 ARTICLE_WORDS = frozenset("article content entry main post story".split())
+#: Pages with less good text can't tell their container.
+SHORT = 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -204,23 +207,39 @@ def parse(html: str) -> Page:
     return page
 
 
-def vote(page: Page, share: float = 0.9) -> tuple[int, int]:
-    """(container, weight): the deepest one with ``share`` of the page's good text, and that text's length up to 2000."""
+def vote(page: Page) -> tuple[int, int]:
+    """(container, weight): the deepest one with all of the page's good text, or the article, else main, around it; and that
+    text's length up to 2000."""
+    own = _good(page)
+    total = own[0]
+    best = 0
+    for node in range(1, len(own)):  # parents come first: of nested ones the last is the deepest
+        if own[node] == total and total and page.parents[node] == best:
+            best = node
+    for name in ("article", "main"):
+        node = best
+        while node > 0 and page.paths[node][1].split(".")[0] != name:
+            node = page.parents[node]
+        if node > 0:
+            return node, min(total, 2000)
+    return best, min(total, 2000)
+
+
+def _good(page: Page) -> list[int]:
+    """Length of the good text below each container."""
     own = [0] * len(page.parents)
     for container, text, good in page.blocks:
         own[container] += len(text) if good else 0
-    total = sum(own)
     for node in range(len(own) - 1, 0, -1):
         own[page.parents[node]] += own[node]
-    best = 0
-    for node in range(1, len(own)):  # parents come first: of nested ones the last is the deepest
-        if own[node] >= share * total and total and page.parents[node] == best:
-            best = node
-    return best, min(total, 2000)
+    return own
 
 
 def text_of(page: Page, path: str | None) -> str:
-    """The blocks below all containers with the path, or below the page's own vote where there is none."""
+    """The blocks below all containers with the path, or below the page's own vote where there is none or good text lies outside.
+
+    A page with less good text than ``SHORT``, and less than half of it below the path, is too short to tell: its host decides.
+    """
     chosen = [False] * len(page.parents)
     if path:
         wanted = path.split(">")
@@ -229,7 +248,9 @@ def text_of(page: Page, path: str | None) -> str:
             parent = depth[page.parents[node]]
             depth[node] = parent + 1 if 0 <= parent < len(wanted) and page.paths[node][1] == wanted[parent] else -1
             chosen[node] = depth[node] == len(wanted)
-    if not any(chosen):
+    own = _good(page)
+    below = sum(own[node] for node in range(len(own)) if chosen[node])
+    if not any(chosen) or below < own[0] and (own[0] >= SHORT or 2 * below >= own[0]):
         chosen[vote(page)[0]] = True
     for node in range(1, len(chosen)):
         chosen[node] = chosen[node] or chosen[page.parents[node]]

@@ -57,3 +57,17 @@ def test_edges(spark):
     texts = {"<p>a</p>": "a", "<p>b</p>": "b", "<p>c</p>": "c", None: "", "": ""}
     assert got == Counter((r[0], r[1], t, len(t)) for r in rows for t in [texts.get(r[2], ("long " * 100_000).strip())])
     assert html.extract(pages.limit(0)).collect() == []
+
+
+def test_headings_ledes_and_last_sections_outside_the_body_stay(spark):
+    body = "<p>" + "words of the body " * 60 + "</p>"
+    lede = "<html><body><nav>menu</nav><article><h1>Title</h1><p>The lede.</p><div class=body>" + body + "</div></article><footer>f</footer>"
+    last = "<html><body><div id=w><div class=body>" + body + "</div><section class=end><p>A short last section.</p></section></div><footer>f</footer>"
+    half = "<html><body><article><h1>Other</h1><p>" + "a long lede " * 40 + "</p><div class=body><p>rest</p></div></article>"
+    plain = "<html><body><article><div class=body>" + body + "</div></article>"
+    text = ("words of the body " * 60).strip()
+    want = {1: f"Title\n\nThe lede.\n\n{text}", 2: f"{text}\n\nA short last section.", 3: "Other\n\n" + ("a long lede " * 40).strip() + "\n\nrest", 4: text}
+    pages = [(1, "http://a/1", lede), (2, "http://b/2", last), (3, "http://a/3", half), *((n, f"http://a/{n}", plain) for n in range(4, 9))]
+    pages += [(20 + n, "http://b/x", "<html><body><div id=w><div class=body>" + body + "</div></div>") for n in range(5)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert {n: got[n] for n in want} == want
