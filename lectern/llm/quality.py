@@ -1,7 +1,7 @@
 """Quality rules: base rules on words and lines, and the divergence of a document from its language.
 
 For each language the corpus gives two reference histograms: character classes, and its most common words plus one bin for
-all others. A document is rejected when the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) to a
+all others. A language with too few words for that is compared with those of all documents and of the other languages. A document is rejected when the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) to a
 reference is above a limit. Short documents scatter: a text under the guard lengths isn't compared, and the divergence that
 a sample of its length has on average is taken off first.
 """
@@ -31,7 +31,8 @@ class Rules:
 
     common_words: int = 50  # words of a language's histogram
     word_bytes: int = 64  # longer words are never common words
-    least_share: float = 0.001  # of the corpus's words that a language needs for a reference: 1000 references at most
+    least_share: float = 0.001  # of the corpus's words from which every document may be near a language: 1000 of them at most
+    least_words: int = 20_000  # or so many words give a language a reference for its own documents
     guard_words: int = 50  # documents of fewer words aren't compared by words
     guard_chars: int = 200  # or by classes with fewer code points
     class_limit: float = 0.3
@@ -142,8 +143,19 @@ HELD_ROWS = 150_000
 SCHEMA = "language string, kind string, name string, n bigint"
 
 
-def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> dict[str, dict]:
-    """Histograms by language, from all documents that pass the base rules.
+#: The name of the references of all documents; no language, as a null one is empty.
+ALL = None
+
+
+def _reference(words: list[str], counts: list[int], total: int, classes: dict[str, int]) -> dict:
+    by_word = np.array([*counts, total - sum(counts)], dtype=float)
+    by_class = np.array([classes.get(c, 0) for c in CLASSES], dtype=float)
+    return {"words": words, "word": by_word / by_word.sum(), "class": by_class / by_class.sum()}
+
+
+def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> tuple[dict, DataFrame | None]:
+    """Histograms from all documents that pass the base rules: by language for the common ones and under ``ALL`` for all
+    documents; and those of the other languages with enough words as a table (language, reference), if there are any.
 
     Counted per task, summed in Spark. What reaches the driver is bounded: 1 / least_share languages, each with
     common_words words of word_bytes bytes and the classes.
@@ -174,21 +186,62 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
 
     counted = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(lambda batches: released(run(batches)), SCHEMA)
     counts = counted.groupBy("language", "kind", "name").agg(F.sum("n").alias("n"))
+    counts = store(counts, "counts")
     best = Window.partitionBy("language", "kind").orderBy(F.desc("n"), "name")
     top = store(counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(rules.common_words, len(CLASSES))), "words")
     totals = top.where(F.col("kind") == "total")
-    least = rules.least_share * (totals.agg(F.sum("n")).first()[0] or 0)
+    every = totals.agg(F.sum("n")).first()[0] or 0
+    if not every:
+        return {}, None
+    least = rules.least_share * every
+    found: dict[str | None, dict] = {}
     shares = totals.where(F.col("n") >= least)
-    found: dict[str, dict] = {}
     for r in top.join(shares.select("language"), "language").orderBy("language", "kind", "place").collect():
         found.setdefault(r.language, {"class": {}, "word": {}, "total": {}})[r.kind][r.name] = r.n
+    whole = counts.groupBy("kind", "name").agg(F.sum("n").alias("n"))
+    most = whole.where("kind = 'word'").orderBy(F.desc("n"), "name").limit(rules.common_words)
+    for r in most.unionByName(whole.where("kind <> 'word'")).collect():
+        found.setdefault(ALL, {"class": {}, "word": {}, "total": {}})[r.kind][r.name] = r.n
     made = {}
     for language, x in found.items():
         words = list(x["word"].items())[:rules.common_words]
-        counts_of_words = np.array([n for _, n in words] + [x["total"][""] - sum(n for _, n in words)], dtype=float)
-        classes = np.array([x["class"].get(c, 0) for c in CLASSES], dtype=float)
-        made[language] = {"words": [w for w, _ in words], "word": counts_of_words / counts_of_words.sum(), "class": classes / classes.sum()}
-    return made
+        made[language] = _reference([w for w, _ in words], [n for _, n in words], x["total"][""], x["class"])
+    own = totals.where((F.col("n") < least) & (F.col("n") >= rules.least_words)).select("language", F.col("n").alias("all_words"))
+    if own.isEmpty():
+        return made, None
+    word = F.when((F.col("kind") == "word") & (F.col("place") <= rules.common_words), F.struct("place", "name", "n"))
+    some = top.join(own, "language").groupBy("language", "all_words").agg(
+        F.array_sort(F.collect_list(word)).alias("found"),
+        *(F.sum(F.when((F.col("kind") == "class") & (F.col("name") == c), F.col("n")).otherwise(0)).alias(f"c{i}") for i, c in enumerate(CLASSES)))
+    classes = [F.col(f"c{i}") for i in range(len(CLASSES))]
+    counted_words = F.aggregate("found.n", F.lit(0).cast("bigint"), lambda total, n: total + n)
+    shown = some.withColumn("cs", F.array(*classes)).withColumn("rest", F.col("all_words") - counted_words).select(
+        "language",
+        F.struct(
+            F.col("found.name").alias("words"),
+            F.transform(F.concat(F.col("found.n"), F.array("rest")), lambda n: n / F.col("all_words")).alias("word"),
+            F.transform("cs", lambda n: n / sum(classes[1:], classes[0])).alias("class")).alias("reference"))
+    return made, store(shown, "references")
+
+
+def _with_own(docs: DataFrame, lang_col: str, own: DataFrame | None) -> DataFrame:
+    """The documents with the reference of their language as the last column, where it is one of ``own``."""
+    if own is None:
+        return docs
+    kind = own.select("language", F.col("reference").alias("__reference"))
+    return docs.join(kind, F.coalesce(F.col(lang_col).cast("string"), F.lit("")) == kind["language"], "left").drop(kind["language"])
+
+
+def _own_references(languages: pa.Array, column: pa.Array | None) -> dict[str, dict]:
+    """The joined references of a batch by language."""
+    found: dict[str, dict] = {}
+    if column is None:
+        return found
+    for language, rows in _language_rows(languages).items():
+        ref = column[int(rows[0])].as_py() if len(rows) else None
+        if ref:
+            found[language] = {"words": ref["words"], "word": np.array(ref["word"]), "class": np.array(ref["class"])}
+    return found
 
 
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -207,8 +260,11 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(divergence - scatter, 0, 1))
 
 
-def judge(texts: pa.Array, languages: pa.Array, made: dict[str, dict], rules: Rules) -> tuple[Measures, dict[str, np.ndarray]]:
-    """Measures, and the distances and verdicts: to the document's own language or, where that rejects it, to the nearest one."""
+def judge(
+    texts: pa.Array, languages: pa.Array, made: dict[str | None, dict], rules: Rules, joined: pa.Array | None = None,
+) -> tuple[Measures, dict[str, np.ndarray]]:
+    """Measures, and the distances and verdicts: to the document's own language or, where that rejects it, to another that accepts
+    it. A language without a reference has that of all documents."""
     m = Measures(texts)
     distance = {"class": np.zeros(m.docs), "word": np.zeros(m.docs)}
 
@@ -225,10 +281,12 @@ def judge(texts: pa.Array, languages: pa.Array, made: dict[str, dict], rules: Ru
     def near() -> np.ndarray:
         return rules.accepts(distance["class"], distance["word"], m.n_words)
 
+    own = _own_references(languages, joined)
     for language, rows in _language_rows(languages).items():
-        if language in made:
-            distance["class"][rows], distance["word"][rows] = compare(rows, made[language])
-    for ref in made.values():  # a wrong language mark is no fault of the text
+        ref = made.get(language) or own.get(language) or made.get(ALL)
+        if ref:
+            distance["class"][rows], distance["word"][rows] = compare(rows, ref)
+    for ref in (made[x] for x in made if x is not ALL):  # a wrong language mark is no fault of the text
         rows = np.flatnonzero(~near() & ~m.base_failed)
         if not len(rows):
             break
@@ -245,32 +303,35 @@ def quality(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", tex
     """(id, base measures, base_failed, class_distance, word_distance, kept) of every row.
 
     Nulls: a null text has no words and fails the base rules; a null language is a language of its own; a null id stays null.
-    A language with less than its share of the corpus has no reference, and its documents aren't compared. Repeated rows come
-    out as often as they came in. Only the three columns are read. An empty table gives an empty result.
+    Documents of a language with less than its share of the corpus and fewer than ``least_words`` words are compared with all
+    documents, then with the common languages. Repeated rows come out as often as they came in. Only the three columns are read. An empty table gives an empty result.
     """
-    made = references(docs, rules, text_col, lang_col)
+    made, own = references(docs, rules, text_col, lang_col)
+    joined = own is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m, found = judge(batch.column(1), batch.column(2), made, rules)
+            m, found = judge(batch.column(1), batch.column(2), made, rules, batch.column(3) if joined else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(getattr(m, n).astype(np.int64)) for n in MEASURES), pa.array(m.base_failed),
                  pa.array(found["class_distance"]), pa.array(found["word_distance"]), pa.array(found["kept"])],
                 [id_col, *MEASURES, "base_failed", "class_distance", "word_distance", "kept"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"), F.col(lang_col).cast("string").alias("__lang"))
+    return _with_own(rows, "__lang", own).mapInArrow(
         run, f"{id_col} {kind}, " + ", ".join(f"{n} bigint" for n in MEASURES)
         + ", base_failed boolean, class_distance double, word_distance double, kept boolean")
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows that ``quality`` keeps, with all their columns."""
-    made = references(docs, rules, text_col, lang_col)
-    text, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+    made, own = references(docs, rules, text_col, lang_col)
+    text, lang, width, joined = docs.columns.index(text_col), docs.columns.index(lang_col), len(docs.columns), own is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(judge(batch.column(text), batch.column(lang), made, rules)[1]["kept"]))
+            kept = judge(batch.column(text), batch.column(lang), made, rules, batch.column(width) if joined else None)[1]["kept"]
+            yield batch.select(list(range(width))).filter(pa.array(kept))
 
-    return docs.mapInArrow(lambda batches: released(run(batches)), docs.schema)
+    return _with_own(docs, lang_col, own).mapInArrow(lambda batches: released(run(batches)), docs.schema)

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -56,3 +57,19 @@ def test_edges(edges, edge_rows):
     stays = quality.keep_good(edges)
     assert stays.columns == edges.columns
     assert Counter(r.doc_id for r in stays.collect()) == Counter(r.doc_id for r in got if r.kept)
+
+
+def test_rare_languages_are_compared(spark):
+    """Junk under a rare, misspelt or null language goes, clean text under it stays; a small language has its own reference."""
+    rng = random.Random(3)
+    english = [f"{a}{b}" for a in "the of and river stone house garden letter winter morning".split() for b in ("", "s", "ing", "ed")]
+    small = [w[::-1] + "o" for w in english]
+    say = lambda words, n=300: " ".join(rng.choice(words) for _ in range(n))
+    junk = lambda: " ".join("".join(rng.choices("XQZ#$%&0123456789", k=7)) for _ in range(300))
+    rows = [(i, say(english), "en") for i in range(400)] + [(1000 + i, say(small), "xs") for i in range(10)]
+    rows += [(2000 + i, junk(), lang) for i, lang in enumerate(["zz", "enn", None, "xs"])] + [(3000 + i, say(english), lang) for i, lang in enumerate(["enn", None])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    rules = quality.Rules(least_share=0.2, least_words=2000)
+    kept = {r.doc_id for r in quality.quality(docs, rules).collect() if r.kept}
+    assert kept == {r[0] for r in rows if not 2000 <= r[0] < 3000}
+    assert {r.doc_id for r in quality.keep_good(docs, rules).collect()} == kept
