@@ -39,6 +39,13 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Removes working tables that nothing reads any more."""
+    for path in paths:
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def text_bytes(column: pa.Array) -> tuple[memoryview, list[int]]:
     """The UTF-8 bytes of a string column end to end, and each row's end; nulls are empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")

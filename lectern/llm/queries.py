@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import bpe, html, mixing, quality, repeats, simhash, tokens, topk, urls, warc
+from lectern.llm import bpe, html, lines, mixing, periodic, quality, repeats, simhash, spelling, tokens, topk, urls, warc
 from lectern.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,19 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_html")
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"), slips=97)
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.planted(read(spark, sf_dir, "documents"))))
+
+
+@query("op13_line_dedup", lines.check_sql())
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -22,7 +22,7 @@ def test_stages_hand_on_documents(spark, edges):
 
 def test_registered():
     assert "pipeline" in contract.queries() and set(queries.QUERIES) <= set(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in contract.queries()) == 1
 
 
