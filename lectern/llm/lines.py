@@ -4,7 +4,7 @@ A line's key is the line without white space at its ends, A-Z lower-cased; keys
 in batches by falling id. A run is a table of the keys that its batch saw first, with the largest id of the batch that holds
 them, bucketed and sorted by hash. A new batch
 
-1. counts its keys, bucketed and sorted the same way,
+1. has its keys counted, in a table bucketed and sorted the same way,
 2. merge-anti-joins the runs, one after the other, which moves neither side: what is left is new and becomes its own run,
 3. files the rest, the keys that a run has already, with their numbers of documents only.
 
@@ -22,8 +22,8 @@ from lectern.llm.common import forget, place, prepare, store
 
 #: Batches of one corpus, and runs of a level that are compacted into one.
 BATCHES, FANOUT = 8, 3
-#: Bytes of text for each bucket of the runs.
-BUCKET = 64 << 20
+#: Bytes of text for each bucket of the runs (hashes take about a tenth); there are as many as shuffle partitions at least.
+BUCKET = 2 << 30
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HASH = ["h1", "h2"]
@@ -43,6 +43,22 @@ def keyed_lines(docs: DataFrame, least_chars: int) -> DataFrame:
     return found.select(*kept, "pos", "hash.h1", "hash.h2")
 
 
+def bucketed(rows: DataFrame, buckets: int, *parts: str) -> tuple[str, str]:
+    """(name, folder) of a new table of the rows, bucketed and sorted by hash; with ``parts``, one file for each of their values
+    in a bucket."""
+    name, path = f"lectern_run_{uuid.uuid4().hex}", place(rows.sparkSession, "run")
+    out = rows.repartition(buckets, *_HASH).write.bucketBy(buckets, *_HASH).sortBy(*_HASH).format("parquet").option("path", path)
+    (out.partitionBy(*parts) if parts else out).saveAsTable(name)
+    return name, path
+
+
+def key_counts(lines: DataFrame, *by: str) -> DataFrame:
+    """(by..., h1, h2, docs, last) of (by..., doc, h1, h2): the different docs with a key, and the largest. A hot key is counted
+    where it lies."""
+    held = lines.select(*by, *_HASH, "doc").distinct()
+    return held.groupBy(*by, *_HASH).agg(F.count("*").alias("docs"), F.max("doc").alias("last"))
+
+
 class LineRuns:
     """The runs seen so far. ``add`` batches in the order in which they shall keep their lines, then ask for ``totals``."""
 
@@ -51,13 +67,6 @@ class LineRuns:
         self.levels: list[list[tuple[str, str]]] = [[]]
         self.again: list[DataFrame] = []
 
-    def _write(self, rows: DataFrame) -> tuple[str, str]:
-        """A table bucketed and sorted by hash, one file a bucket."""
-        name, path = f"lectern_run_{uuid.uuid4().hex}", place(self.spark, "run")
-        dealt = rows.repartition(self.buckets, *_HASH)
-        dealt.write.bucketBy(self.buckets, *_HASH).sortBy(*_HASH).option("path", path).format("parquet").saveAsTable(name)
-        return name, path
-
     def _drop(self, table: tuple[str, str]) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table[0]}")
         forget(self.spark, table[1])
@@ -65,16 +74,14 @@ class LineRuns:
     def runs(self) -> list[tuple[str, str]]:
         return [t for level in reversed(self.levels) for t in level]
 
-    def add(self, lines: DataFrame) -> None:
-        """A batch of (doc, h1, h2); repeated rows count once for each doc."""
-        counted = self._write(lines.groupBy(*_HASH).agg(F.countDistinct("doc").alias("docs"), F.max("doc").alias("last")))
-        fresh = self.spark.table(counted[0])
+    def add(self, counted: DataFrame) -> None:
+        """A batch of (h1, h2, docs, last), each key once. From a table bucketed like the runs nothing is moved."""
+        fresh = counted
         for name, _ in self.runs():
             fresh = fresh.join(self.spark.table(name).select(*_HASH).hint("merge"), _HASH, "left_anti")
-        run = self._write(fresh)
-        seen = self.spark.table(counted[0]).join(self.spark.table(run[0]).select(*_HASH).hint("merge"), _HASH, "left_anti")
+        run = bucketed(fresh, self.buckets)
+        seen = counted.join(self.spark.table(run[0]).select(*_HASH).hint("merge"), _HASH, "left_anti")
         self.again.append(store(seen.select(*_HASH, "docs"), "again"))
-        self._drop(counted)
         self.levels[0].append(run)
         for level in range(len(self.levels)):
             if len(self.levels[level]) >= self.fanout:
@@ -88,7 +95,7 @@ class LineRuns:
             rows = rows.unionByName(self.spark.table(name))
         if level + 1 == len(self.levels):
             self.levels.append([])
-        self.levels[level + 1].append(self._write(rows))
+        self.levels[level + 1].append(bucketed(rows, self.buckets))
         self.levels[level] = []
         for table in old:
             self._drop(table)
@@ -139,15 +146,16 @@ def dedup_lines(
     steps = F.array(*(F.lit(i / batches) for i in range(1, batches)))
     size, cuts = slim.agg(F.sum(F.octet_length("text")), F.percentile_approx("doc", steps, F.lit(1000))).first()
     cuts = sorted(set(cuts or []))
-    buckets = max(12, (size or 0) // BUCKET + 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // BUCKET + 1)
     # how many cuts are at or above the id: the first batch has the largest ids
     batch = sum((F.when(F.col("doc") <= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    path = place(spark, "lines")
-    keyed_lines(slim.select("doc", "row", "text").withColumn("batch", batch), least_chars).write.partitionBy("batch").parquet(path)
-    lines = spark.read.schema("doc bigint, row bigint, pos int, h1 bigint, h2 bigint, batch int").parquet(path)
+    lines = store(keyed_lines(slim.select("doc", "row", "text").withColumn("batch", batch), least_chars), "lines")
+    name, path = bucketed(key_counts(lines, "batch"), buckets, "batch")
     runs = LineRuns(spark, buckets, fanout)
     for i in range(len(cuts) + 1):
-        runs.add(lines.where(F.col("batch") == i).select("doc", *_HASH))
+        runs.add(spark.table(name).where(F.col("batch") == i).drop("batch"))
+    spark.sql(f"DROP TABLE {name}")
+    forget(spark, path)
     repeated = runs.totals(least_docs)
     gone = lines.join(repeated, _HASH).where("doc <> last").groupBy("doc", "row").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     split = F.split("text", "\n")

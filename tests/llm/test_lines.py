@@ -55,7 +55,7 @@ def test_batches_meet_the_runs_without_moving_them(spark):
     runs = lines.LineRuns(spark, 4, 2)
     made = spark.range(1000).select("id", F.lit(1).alias("h2"))
     for low, high in ((500, 1000), (300, 700), (0, 600), (0, 1000), (900, 1000)):
-        runs.add(made.where(f"id >= {low} and id < {high}").select((F.col("id") * -1).alias("doc"), F.col("id").alias("h1"), "h2"))
+        runs.add(lines.key_counts(made.where(f"id >= {low} and id < {high}").select((F.col("id") * -1).alias("doc"), F.col("id").alias("h1"), "h2")))
     assert [len(level) for level in runs.levels] == [1, 0, 1]  # five runs, compacted by twos
     kept = [spark.table(name) for name, _ in runs.runs()]
     assert sorted(t.count() for t in kept) == [0, 1000]  # each key in one run
