@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,14 +37,43 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: a lost executor costs no recomputation, later steps read columns."""
     path = place(df.sparkSession, name)
     df.write.parquet(path)
+    for tables in _open(df.sparkSession):
+        tables.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(spark: SparkSession, *paths: str) -> None:
-    """Removes working tables that nothing reads any more."""
-    for path in paths:
-        found = spark._jvm.org.apache.hadoop.fs.Path(path)
-        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+def _open(spark: SparkSession) -> list[list[str]]:
+    return spark.sparkContext.__dict__.setdefault("_lectern_open_stages", [])
+
+
+def forget(spark: SparkSession, *tables: str | DataFrame) -> None:
+    """Removes working tables that nothing reads any more, given as folders or as what ``store`` returned."""
+    for table in tables:
+        files = [table] if isinstance(table, str) else {f.rpartition("/")[0] for f in table.inputFiles()}
+        for path in files:
+            found = spark._jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+def stage(function):
+    """For a stage of a pipeline: (spark, docs, sf_dir) with the settings of ``prepare``. What earlier stages stored on the way is
+    removed first, but for tables that ``docs`` itself still reads."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        done = spark.sparkContext.__dict__.setdefault("_lectern_stage_tables", [])
+        read = {f.rpartition("/")[0].rpartition("/")[2] for f in docs.inputFiles()} if done else set()
+        kept = [t for t in done if t.rpartition("/")[2] in read]
+        forget(spark, *(t for t in done if t not in kept))
+        done[:] = kept
+        _open(spark).append(done)
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _open(spark).pop()
+
+    return run
 
 
 def text_bytes(column: pa.Array) -> tuple[memoryview, list[int]]:

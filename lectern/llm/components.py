@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.common import store
+from lectern.llm.common import forget, store
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = store(edges.where("u is not null and v is not null and u <> v").select("u", "v").distinct(), "edges")
     seen = None
     while True:
-        edges = store(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, store(_small_star(_large_star(edges)), "edges")
+        forget(edges.sparkSession, last)
         state = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if state == seen or not state[0]:
             break

@@ -361,7 +361,8 @@ def drop_near_duplicates(
     """The rows whose id is the smallest of their component (of repeated rows with that id, all), with all columns.
 
     Links are pairs whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, compared exactly (``jaccard``);
-    fingerprints take no part. Rows with a null id stay.
+    fingerprints take no part. Rows with a null id stay; a null text is empty, and empty texts are equal. An empty table gives no
+    rows.
     """
     from lectern.llm import jaccard
 

@@ -23,6 +23,8 @@ from lectern.llm.common import place, prepare, store
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+#: Frames that a task fetches.
+FRAMES_PER_TASK = 64
 FOOTER = struct.Struct("<IBI")
 ENTRY = struct.Struct("<II")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -211,8 +213,8 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = True) -> DataF
                         rows.append(_row(headers, block))
                     yield _batch(rows, payloads)
 
-    bundles = index.select("bundle").distinct()
-    return bundles.repartition("bundle").mapInArrow(run, _schema(payloads))
+    bundles = store(index.select("bundle").distinct(), "bundles")
+    return bundles.repartition(max(1, bundles.count()), "bundle").mapInArrow(run, _schema(payloads))
 
 
 def fetch(index: DataFrame, ids: DataFrame, folder: str, id_col: str = "record_id", payloads: bool = True) -> DataFrame:
@@ -229,7 +231,9 @@ def fetch(index: DataFrame, ids: DataFrame, folder: str, id_col: str = "record_i
                 yield _batch([_row(headers, block)], payloads)
 
     wanted = index.join(ids.select(F.col(id_col).cast("string").alias("record_id")).distinct(), "record_id", "left_semi")
-    placed = wanted.select("bundle", "frame", "offset").repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+    placed = store(wanted.select("bundle", "frame", "offset"), "wanted")
+    frames = max(1, placed.select("bundle", "frame").distinct().count() // FRAMES_PER_TASK)
+    placed = placed.repartition(frames, "bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
     return placed.mapInArrow(run, _schema(payloads))
 
 

@@ -57,6 +57,35 @@ def test_chains_and_groups_like_all_pairs(spark):
     assert left == exact(rows)
 
 
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    """Buckets cut into blocks give the same groups."""
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 7)
+    test_chains_and_groups_like_all_pairs(spark)
+
+
+def test_bucket_links_join_what_is_similar():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k * 2:180 + k], rng.integers(0, 1 << 63, 20, dtype=np.uint64)])) for k in range(25)]
+    sets += [np.unique(rng.integers(0, 1 << 63, 150, dtype=np.uint64)) for _ in range(5)] + [np.zeros(0, np.uint64)]
+    groups = np.arange(len(sets)) + 100
+    groups[3] = groups[7]
+    for parts in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+        links = jaccard.bucket_links(parts, groups, sets, 0.8)
+        want = {(i, j) for i in range(len(sets)) for j in range(i) if jaccard.similar(sets[i], sets[j], 0.8)
+                and (not parts.any() or parts[i] != parts[j])}
+        assert set(links) <= want and len(links) < len(sets)
+
+        def merged(pairs):
+            up = {g: g for g in groups.tolist()}
+            for i, j in pairs:
+                a, b = up[groups[i]], up[groups[j]]
+                up = {g: min(a, b) if u in (a, b) else u for g, u in up.items()}
+            return up
+
+        assert merged(links) == merged(want)
+
+
 def test_band_keys_find_what_the_formula_says():
     rng = np.random.default_rng(3)
     for j in (0.5, 0.8):

@@ -20,6 +20,22 @@ def test_stages_hand_on_documents(spark, edges):
         assert stage(spark, docs.limit(0), "").count() == 0, name
 
 
+def test_stages_remove_what_earlier_ones_stored(spark, sample):
+    from pathlib import Path
+
+    from lectern.session import shared_dir
+
+    tables = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file:")).iterdir()}
+    before = tables()
+    first = corpus_pipeline.near_dedup(spark, sample, "")
+    made = tables() - before
+    unsaved = corpus_pipeline.suffix_dedup(spark, first, "")  # reads tables of the first stage
+    assert made and unsaved.count() > 0
+    saved = store(unsaved, "kept")
+    corpus_pipeline.mix_sources(spark, saved, "")
+    assert not made & tables() and saved.count() > 0
+
+
 def test_registered():
     assert "pipeline" in contract.queries() and set(queries.QUERIES) <= set(contract.queries())
     for n in range(1, 14):
