@@ -185,12 +185,10 @@ def novelty_score(inp):
 
 @query(
     "title_key",
-    """SELECT doc_id, LOWER(REGEXP_REPLACE(TRIM(COALESCE(CASE WHEN doc_id % 2 = 0 THEN text END, source, '')),
-    '[^[:alnum:]]+', ' ', 'g')) AS title_key FROM {documents}""",
+    """SELECT doc_id, LOWER(REGEXP_REPLACE(TRIM(COALESCE(text, source, '')), '[^[:alnum:]]+', ' ', 'g')) AS title_key FROM {documents}""",
 )
 def title_key(inp):
-    first = F.when(F.col("doc_id") % 2 == 0, F.col("text"))
-    return inp.table("documents").select("doc_id", text.title_key(first, "source").alias("title_key"))
+    return inp.table("documents").select("doc_id", text.title_key("text", "source").alias("title_key"))
 
 
 @query("has_usable_description", "SELECT book_id, COALESCE(LENGTH(description) >= 200, FALSE) AS has_usable_description FROM documents_v")
@@ -216,10 +214,9 @@ def try_cast(inp):
     )
 
 
-@query("blank_to_null", "SELECT conv_id, turn, NULLIF(TRIM(CASE WHEN turn % 2 = 0 THEN '  ' ELSE text END), '') AS text FROM {conversations}")
+@query("blank_to_null", "SELECT conv_id, turn, NULLIF(TRIM(text), '') AS text FROM {conversations}")
 def blank_to_null(inp):
-    shown = F.when(F.col("turn") % 2 == 0, F.lit("  ")).otherwise(F.col("text"))
-    return inp.table("conversations").select("conv_id", "turn", text.blank_to_null(shown).alias("text"))
+    return inp.table("conversations").select("conv_id", "turn", text.blank_to_null("text").alias("text"))
 
 
 @query("coalesce_default", "SELECT book_id, COALESCE(work_id, -book_id) AS work_key, COALESCE(ratings_count, 0) AS ratings_count, COALESCE(language_code, 'unknown') AS language_code FROM books")

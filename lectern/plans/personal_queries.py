@@ -450,9 +450,32 @@ def evidence_candidates(inp):
     return big(rounded(shown, "evidence_score"), "rank")
 
 
-@query("evidence_select")
+# the greedy choice as a recursion: a step for each place of each recommendation, with all picks of the user so far
+_CHOSEN = f"""SELECT * FROM (WITH RECURSIVE offered AS (SELECT *, ROUND(evidence_score, 9) AS score, LOWER(TRIM(COALESCE(NULLIF(matched_author, ''), input_author, ''))) AS author_key,
+    LOWER(TRIM(COALESCE(NULLIF(input_author, ''), NULLIF(matched_author, ''), 'Unknown author'))) AS cited_key FROM evidence WHERE rank <= {TOP}),
+    greedy AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS step, CAST([] AS STRUCT("rank" BIGINT, place BIGINT, row_id BIGINT, author VARCHAR, uses BIGINT)[]) AS picks FROM offered
+    UNION ALL SELECT user_id, step + 1, CASE WHEN row_id IS NULL THEN picks ELSE list_append(picks,
+        {{'rank': step // 3 + 1, 'place': step % 3 + 1, 'row_id': row_id, 'author': cited_key, 'uses': used + 1}}) END
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ROUND(score + CASE WHEN fresh THEN 0.05 ELSE 0 END - 0.02 * used, 9) DESC NULLS LAST,
+        score DESC, explanation_weight DESC, row_id) AS place FROM (
+        SELECT g.user_id, g.step, g.picks, o.library_row_id AS row_id, o.cited_key, o.score, o.explanation_weight,
+            len(list_filter(g.picks, lambda p: p.row_id = o.library_row_id)) AS used,
+            o.author_key <> '' AND len(list_filter(g.picks, lambda p: p.rank = g.step // 3 + 1 AND p.author = o.author_key)) = 0 AS fresh
+        FROM greedy g LEFT JOIN offered o ON o.user_id = g.user_id AND o.rank = g.step // 3 + 1
+            AND len(list_filter(g.picks, lambda p: p.row_id = o.library_row_id)) < 5
+            AND len(list_filter(g.picks, lambda p: p.rank = g.step // 3 + 1 AND p.row_id = o.library_row_id)) = 0
+        WHERE g.step < {3 * TOP})) WHERE place = 1)
+    SELECT o.user_id, CAST(o.rank AS BIGINT) AS rank, p.place AS evidence_rank, o.library_row_id, COALESCE(NULLIF(input_title, ''), matched_title) AS title,
+        COALESCE(NULLIF(input_author, ''), matched_author) AS author, CAST(my_rating AS DOUBLE) AS rating, ROUND(explanation_weight, 6) + 0.0 AS weight,
+        ROUND(content_similarity, 6) + 0.0 AS content_similarity, ROUND(score, 6) + 0.0 AS evidence_score, shared_genre, shared_author, p.uses AS global_usage_count
+    FROM (SELECT user_id AS chooser, UNNEST(picks) AS p FROM greedy WHERE step = {3 * TOP}) JOIN offered o
+    ON o.user_id = chooser AND o.rank = p.rank AND o.library_row_id = p.row_id)"""
+
+
+@query("evidence_select", _CHOSEN, PERSONAL_SQL)
 def evidence_select(inp):
-    return ex.evidence_select(evidence(inp), max_recommendations=TOP)
+    picks = ex.evidence_select(evidence(inp), max_recommendations=TOP)
+    return big(rounded(picks, "weight", "content_similarity", "evidence_score"), "rank", "evidence_rank", "global_usage_count")
 
 
 @query("evidence_summary")
@@ -523,18 +546,17 @@ def short_explanation(inp):
     return big(with_best_evidence(inp).select("user_id", "rank", ex.short_explanation().alias("short_explanation")), "rank")
 
 
-@query(
-    "explanation_text",
-    """SELECT user_id, rank, UPPER(t[1]) || t[2:] || '.' AS explanation FROM (SELECT user_id, rank, concat_ws('; ',
+EXPLAINED = """SELECT user_id, rank, UPPER(t[1]) || t[2:] || '.' AS explanation FROM (SELECT user_id, rank, concat_ws('; ',
     'It is close in content to books you liked, especially ' || input_title || ' by ' || input_author,
     CASE WHEN shared_genre THEN 'it reinforces your apparent interest in ' || primary_genre
          ELSE 'it fits the ' || primary_genre || ' part of your reading profile' END,
     CASE WHEN shared_author THEN 'you have already shown interest in ' || primary_author END,
     CASE WHEN average_rating >= 4 THEN 'it also has a strong reader rating of ' || format('{:.2f}', average_rating)
          WHEN ratings_count >= 10000 THEN 'it has substantial reader support' END,
-    'model evidence: hybrid similarity ' || format('{:.3f}', hybrid_similarity) || ', final score ' || format('{:.3f}', recommendation_score)) AS t FROM cited)""",
-    TEXT_SQL,
-)
+    'model evidence: hybrid similarity ' || format('{:.3f}', hybrid_similarity) || ', final score ' || format('{:.3f}', recommendation_score)) AS t FROM cited)"""
+
+
+@query("explanation_text", EXPLAINED, TEXT_SQL)
 def explanation_text(inp):
     summary = with_best_evidence(inp)
     return big(summary.select("user_id", "rank", ex.explanation_text(summary.columns, True).alias("explanation")), "rank")

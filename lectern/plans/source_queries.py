@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from lectern.operators.explain import explanation_text
 from lectern.operators import interactions as graph, quality as gates, similarity
 from lectern.plans.catalog_queries import CATALOG_SQL, catalog
 from lectern.operators.library import distribution_counts
@@ -14,7 +15,7 @@ from lectern.plans.content_queries import CONTENT_SQL, embedded
 from lectern.plans.graph_queries import GRAPH_SQL, MIN_USER, core, filtered, training
 from lectern.plans.inputs import Inputs, query, r6
 from lectern.plans.matching_queries import _LIBRARY, export
-from lectern.plans.personal_queries import PERSONAL_SQL, profile, recommended
+from lectern.plans.personal_queries import EXPLAINED, PERSONAL_SQL, TEXT_SQL, profile, recommended, with_best_evidence
 from lectern.plans.popularity_queries import POPULARITY_SQL, scored
 from lectern.plans.vector_queries import VECTOR_SQL, content_space
 from lectern.session import shared_dir
@@ -132,34 +133,50 @@ def write_multi_format(inp):
 @query("verify_row_count", "SELECT 'lineitem' AS source, COUNT(*) AS rows FROM {lineitem}")
 def verify_row_count(inp):
     path, rows = _place(inp, "lineitem"), inp.table("lineitem").select("l_orderkey", "l_partkey")
-    writers.write_parquet(rows, path)
-    found = writers.verify_row_count(inp.spark, path, rows.count())
+    found = writers.write_verified(rows, path)
     return inp.spark.createDataFrame([("lineitem", found)], "source string, rows long")
 
 
+_LINE = "concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT), l_returnflag, l_linestatus) || chr(10)"
+
+
 @query(
     "source_inventory",
-    """SELECT 'nations' AS source, 'FOUND' AS status, CAST(1 AS BIGINT) AS files, SUM(LENGTH(line))::BIGINT AS bytes,
-    sha256(sha256(STRING_AGG(line, '' ORDER BY n_nationkey))) AS sha256, TRUE AS dated
-    FROM (SELECT n_nationkey, n_nationkey || ',' || n_name || chr(10) AS line FROM {nation})
+    f"""WITH files AS (SELECT l_suppkey % 32 AS part, string_agg({_LINE}, '' ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS body
+    FROM {{lineitem}} GROUP BY part), digests AS (SELECT part, strlen(body) AS length, CASE WHEN strlen(body) <= 65536 THEN sha256(body)
+    ELSE sha256((SELECT string_agg(sha256(substr(body, i * 65536 + 1, 65536)), '' ORDER BY i) FROM range((strlen(body) + 65535) // 65536) t(i))) END AS digest
+    FROM files)
+    SELECT 'lineitem' AS source, 'FOUND' AS status, COUNT(*) AS files, SUM(length)::BIGINT AS bytes,
+    sha256(STRING_AGG(digest, '' ORDER BY LPAD(part::VARCHAR, 2, '0'))) AS sha256, TRUE AS dated FROM digests
     UNION ALL SELECT 'absent', 'MISSING', 0, 0, NULL, FALSE""",
 )
 def source_inventory(inp):
-    """A table written as one text file, listed with the size and digest that its rows must give, and a source that is not there."""
-    path = _place(inp, "nations.txt")
-    line = F.concat(F.col("n_nationkey").cast("string"), F.lit(","), "n_name")
-    inp.table("nation").orderBy("n_nationkey").select(line.alias("value")).coalesce(1).write.text(path)
-    found = writers.source_inventory(inp.spark, {"nations": path, "absent": f"{path}-absent"})
+    """All of lineitem written as text files, one for each remainder of the supplier, listed with the sizes and digests that
+    their rows must give (those over 64 KB by ranges), and a source that is not there."""
+    path = _place(inp, "lineitem.txt")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    line = F.concat_ws(",", *order[:4], F.col("l_quantity").cast("bigint"), "l_returnflag", "l_linestatus")
+    part = F.lpad((F.col("l_suppkey") % 32).cast("string"), 2, "0")
+    rows = inp.table("lineitem").withColumns({"part": part, "value": line})
+    rows.repartition("part").sortWithinPartitions("part", *order).select("part", "value").write.partitionBy("part").text(path)
+    found = writers.source_inventory(inp.spark, {"lineitem": path, "absent": f"{path}-absent"}, range_bytes=1 << 16)
     return found.select("source", "status", "files", "bytes", "sha256", F.col("modified").isNotNull().alias("dated"))
 
 
+_COLUMNS = """l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS DECIMAL(18, 4)), CAST(l_extendedprice AS DECIMAL(18, 4)),
+    CAST(l_discount AS DECIMAL(18, 4)), CAST(l_tax AS DECIMAL(18, 4)), l_returnflag, l_linestatus"""
+
+
 @query(
     "content_fingerprint",
-    """SELECT COUNT(*) AS rows, CAST(SUM(CAST('0x' || substr(md5(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
-    CAST(l_linenumber AS VARCHAR), l_returnflag)), 1, 8) AS BIGINT)) AS BIGINT) AS fingerprint FROM {lineitem}""",
+    f"""SELECT COUNT(*) AS rows, CAST(SUM(CAST('0x' || substr(md5(concat_ws(chr(31), {_COLUMNS}, epoch_us(l_shipdate))), 1, 8) AS BIGINT)) AS BIGINT)
+    AS fingerprint FROM {{lineitem}}""",
 )
 def content_fingerprint(inp):
-    return writers.content_fingerprint(inp.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"))
+    """All columns of lineitem; decimals and microseconds have one spelling in every engine."""
+    rows = inp.table("lineitem")
+    exact = {c: F.col(c).cast("decimal(18,4)") for c, kind in rows.dtypes if kind == "double"}
+    return writers.content_fingerprint(rows.withColumns({**exact, "l_shipdate": F.unix_micros(F.col("l_shipdate").cast("timestamp"))}))
 
 
 @query(
@@ -207,14 +224,17 @@ def align_schema(inp):
     return readers.align_schema(inp.table("part"), target)
 
 
-_MARKDOWN = """SELECT user_id, CAST(rank AS BIGINT) AS rank, '## ' || rank || '. ' || title || chr(10) || chr(10) || '**Author:** ' || primary_author || chr(10)
-    || '**Genre:** ' || primary_genre || chr(10) || '**Model:** recommendation score ' || format('{:.3f}', recommendation_score)
-    || ', hybrid similarity ' || format('{:.3f}', hybrid_similarity) || chr(10) || chr(10) || 'Because of ' || primary_genre || chr(10) AS markdown FROM recommended"""
+_MARKDOWN = f"""SELECT user_id, CAST(rank AS BIGINT) AS rank, '## ' || rank || '. ' || title || chr(10) || chr(10) || '**Author:** ' || primary_author || chr(10)
+    || '**Genre:** ' || primary_genre || chr(10) || '**Model:** recommendation score ' || format('{{:.3f}}', recommendation_score)
+    || ', hybrid similarity ' || format('{{:.3f}}', hybrid_similarity) || chr(10) || chr(10) || explanation || chr(10) AS markdown
+    FROM cited JOIN ({EXPLAINED}) USING (user_id, rank)"""
 
 
-@query("markdown_report", _MARKDOWN, PERSONAL_SQL)
+@query("markdown_report", _MARKDOWN, TEXT_SQL)
 def markdown_report(inp):
-    told = recommended(inp).withColumn("explanation", F.concat(F.lit("Because of "), "primary_genre"))
+    """Every recommendation with its explanation by the best evidence."""
+    told = with_best_evidence(inp)
+    told = told.withColumn("explanation", explanation_text(told.columns, True))
     return writers.markdown_report(told).withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+#: Bytes of a file that one task digests, and reads at a time.
+RANGE_BYTES, READ_BYTES = 256 << 20, 4 << 20
 CODECS = ("zstd", "snappy", "gzip", "brotli", "none")
 # what to do when the output is already there
 POLICIES = {"skip": "ignore", "error": "errorifexists", "overwrite": "overwrite"}
@@ -56,21 +63,74 @@ def verify_row_count(spark: SparkSession, path: str, expected: int) -> int:
     return found
 
 
-def source_inventory(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
+def write_observed(rows: DataFrame, path: str, *measures: Column, compression: str = "zstd", policy: str = "error") -> dict:
+    """Writes the rows and returns how many there were, as ``rows``, with the (aliased, aggregate) measures: they are taken while
+    the rows pass, so the source is read once."""
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
+    write_parquet(counted, path, compression, policy)
+    return seen.get
+
+
+def write_verified(rows: DataFrame, path: str, compression: str = "zstd", policy: str = "error") -> int:
+    """Writes the rows and fails unless as many are readable as were written; one pass over the source."""
+    return verify_row_count(rows.sparkSession, path, write_observed(rows, path, compression=compression, policy=policy)["rows"])
+
+
+def byte_ranges(files: DataFrame, size: int) -> DataFrame:
+    """(path, length, range, start, stop) of files (path, length), each cut into ranges of ``size`` bytes; an empty file has one."""
+    last = F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / size)
+    cut = files.withColumn("range", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
+    return cut.select("path", "length", "range", (F.col("range") * size).alias("start"), F.least("length", (F.col("range") + 1) * size).alias("stop"))
+
+
+def _range_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for path, start, stop in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop"))):
+            files, at = pafs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
+            digest = hashlib.sha256()
+            with files.open_input_file(at) as source:
+                source.seek(start)
+                while start < stop:
+                    data = source.read(min(READ_BYTES, stop - start))
+                    if not data:
+                        raise OSError(f"{path} ends before byte {stop}")
+                    digest.update(data)
+                    start += len(data)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("range"), pa.array(digests, pa.string())], ["path", "range", "digest"])
+
+
+def file_digests(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(path, length, modified, sha256) of every file below a path.
+
+    A file of up to ``range_bytes`` has the SHA-256 of its bytes. A longer one is read by ranges in many tasks, and has the SHA-256
+    over the hexadecimal digests of its ranges in order; so no task holds more than a part of a file, whatever its size. Spark's file
+    readers leave out files without a byte.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    facts = found.select("path", "length", F.col("modificationTime").alias("modified"))
+    whole = found.where(F.col("length") <= range_bytes).select("path", F.sha2("content", 256).alias("sha256"))
+    ranges = byte_ranges(facts.where(F.col("length") > range_bytes).select("path", "length"), range_bytes)
+    parts = ranges.repartition(spark.sparkContext.defaultParallelism * 4, "path", "range").mapInArrow(
+        _range_digests, "path string, range bigint, digest string")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("range", "digest"))), lambda r: r["digest"])
+    joined = parts.groupBy("path").agg(F.sha2(F.array_join(listed, ""), 256).alias("sha256"))
+    return facts.join(whole.unionByName(joined), "path")
+
+
+def source_inventory(spark: SparkSession, sources: dict[str, str], range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Per source: found or missing, files, bytes, latest modification, and the SHA-256 over its files' digests by path."""
     from pyspark.errors import AnalysisException
 
-    empty = spark.createDataFrame([], "source string, path string, length bigint, modified timestamp, digest string")
-    listed = empty
+    listed = spark.createDataFrame([], "source string, path string, length bigint, modified timestamp, digest string")
     for name, path in sources.items():
         try:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            files = file_digests(spark, path, range_bytes)
         except AnalysisException:
             continue
-        listed = listed.unionByName(
-            files.select(F.lit(name).alias("source"), "path", "length", F.col("modificationTime").alias("modified"),
-                         F.sha2("content", 256).alias("digest"))
-        )
+        listed = listed.unionByName(files.select(F.lit(name).alias("source"), "path", "length", "modified", F.col("sha256").alias("digest")))
     stats = listed.groupBy("source").agg(
         F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modified").alias("modified"),
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "digest"))), lambda f: f["digest"]), ""), 256).alias("sha256"),
@@ -82,12 +142,6 @@ def source_inventory(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     )
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 per file of up to 2 GB, the limit of a binary value; compare larger ones by ``content_fingerprint``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
-
-
 def content_fingerprint(rows: DataFrame) -> DataFrame:
     """Order-insensitive fingerprint of a dataset of any size: rows, and the sum of 32 bits of each row's MD5.
 

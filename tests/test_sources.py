@@ -103,6 +103,32 @@ def test_inventory_and_fingerprint(spark, tmp_path):
     assert one == two and writers.content_fingerprint(rows.withColumn("x", F.lit(1))).first() != one
 
 
+def test_digests_of_long_files_by_ranges(spark, tmp_path):
+    import hashlib
+
+    bodies = {"a": b"x" * 10, "b": bytes(range(256)) * 41, "d": b"y" * 1000}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    got = {r["path"].rpartition("/")[2]: r for r in writers.file_digests(spark, str(tmp_path), range_bytes=1000).collect()}
+    own = lambda b: hashlib.sha256(b).hexdigest()
+    for name, body in bodies.items():
+        parts = [own(body[i:i + 1000]) for i in range(0, len(body), 1000)]
+        assert got[name]["sha256"] == (own(body) if len(body) <= 1000 else own("".join(parts).encode())) and got[name]["length"] == len(body)
+
+
+def test_ranges_of_files_over_two_gigabytes(spark):
+    files = spark.createDataFrame([("f", 5 << 30), ("g", 1), ("h", 0)], "path string, length long")
+    cut = sorted(tuple(r) for r in writers.byte_ranges(files, 1 << 30).collect())
+    assert cut[:5] == [("f", 5 << 30, i, i << 30, (i + 1) << 30) for i in range(5)] and cut[5:] == [("g", 1, 0, 0, 1), ("h", 0, 0, 0, 0)]
+
+
+def test_observed_writes(spark, tmp_path):
+    seen = writers.write_observed(spark.range(100), str(tmp_path / "o"), F.max("id").alias("top"))
+    assert seen == {"rows": 100, "top": 99}
+    assert writers.write_verified(spark.range(7), str(tmp_path / "v")) == 7
+    assert writers.write_verified(spark.range(0), str(tmp_path / "e")) == 0
+
+
 def test_metrics_and_markdown(spark):
     measured = spark.range(4).agg(F.count("*").alias("rows"), F.max("id").alias("top"))
     assert {tuple(r) for r in writers.run_metrics("s", measured).collect()} == {("s", "rows", 4.0, None), ("s", "top", 3.0, None)}
