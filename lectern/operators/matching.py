@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.fuzzy import author_score, fuzzy_score, title_score
 from lectern.functions.text import author_tokens, normalize_isbn, normalize_text, title_tokens
+from lectern.operators.bounded import reachable_pairs
 from lectern.operators.ranking import top_k
 from lectern.session import cut_lineage
 
@@ -26,6 +27,8 @@ NOTE_NOTHING = "No reliable local or Google Books result was available."
 
 # longest word whose substrings are listed; longer ones are compared by `contains`
 LISTED_WORD = 64
+# most popular candidates that are scored before the rest has to reach their best score
+FIRST = 50
 DETAILS = (
     "work_id", "title", "primary_author", "isbn", "isbn13", "publication_year", "primary_genre", "description",
     "image_url",
@@ -126,28 +129,39 @@ def blocked_fuzzy_join(
     token ever pairs all its titles with all its requests. An absent token kind is
     the empty probe, which every edition answers.
     """
+    probes = request_probes(requests)
+    postings = probe_postings(probes, edition_texts(catalog, fold_catalog)).drop("_t", "_a")
+    best = top_k(postings, ["t", "a"], popularity_order(), limit, "_rank").drop("_rank")
+    found = probes.join(best, ["t", "a"]).drop("t", "a").distinct()
+    return top_k(found, ["q_title", "q_author"], popularity_order(), limit, "candidate_rank")
+
+
+def request_probes(requests: DataFrame) -> DataFrame:
+    """A row for each title token and author token (t, a) of a request; a kind without tokens is an empty text."""
     probe = lambda c: F.explode(F.when(F.size(c) > 0, F.col(c)).otherwise(F.array(F.lit(""))))
-    probes = requests.select("q_title", "q_author", probe("t").alias("t"), "a").select(
-        "q_title", "q_author", "t", probe("a").alias("a")
-    )
-    canonical = catalog.where(F.col("is_canonical_edition"))
+    rest = [c for c in requests.columns if c not in ("t", "a")]
+    return requests.select(*rest, probe("t").alias("t"), "a").select(*rest, "t", probe("a").alias("a"))
+
+
+def edition_texts(catalog: DataFrame, fold_catalog: bool = False) -> DataFrame:
+    """Canonical editions with the title (_t) and the author (_a) that tokens are looked for in."""
     shown = lambda c: normalize_text(c) if fold_catalog else F.lower(F.coalesce(F.col(c), F.lit("")))
-    texts = canonical.select(
+    return catalog.where(F.col("is_canonical_edition")).select(
         "book_id", "ratings_count", "bayesian_rating", shown("title").alias("_t"), shown("primary_author").alias("_a")
     )
+
+
+def probe_postings(probes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts by the probes (t, a) that they answer."""
     titles = contained_tokens(texts, "book_id", "_t", probes.where(F.col("t") != "").select(F.col("t").alias("token")))
     authors = contained_tokens(texts, "book_id", "_a", probes.where(F.col("a") != "").select(F.col("a").alias("token")))
     answers = lambda c: F.explode(F.concat(F.array(F.lit("")), F.coalesce(F.col(c), F.array().cast("array<string>"))))
-    postings = (
-        texts.drop("_t", "_a")
-        .join(titles.withColumnRenamed("tokens", "_tt"), "book_id", "left")
+    return (
+        texts.join(titles.withColumnRenamed("tokens", "_tt"), "book_id", "left")
         .join(authors.withColumnRenamed("tokens", "_aa"), "book_id", "left")
-        .select("book_id", "ratings_count", "bayesian_rating", answers("_tt").alias("t"), "_aa")
-        .select("book_id", "ratings_count", "bayesian_rating", "t", answers("_aa").alias("a"))
+        .select(*texts.columns, answers("_tt").alias("t"), "_aa")
+        .select(*texts.columns, "t", answers("_aa").alias("a"))
     )
-    best = top_k(postings, ["t", "a"], popularity_order(), limit, "_rank").drop("_rank")
-    found = probes.join(best, ["t", "a"]).drop("t", "a").distinct()
-    return top_k(found, ["q_title", "q_author"], popularity_order(), limit, "candidate_rank")
 
 
 def exact_titles(requests: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -201,6 +215,33 @@ def score_candidates(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     return scored.withColumn("score", fuzzy_score()).select(*candidates.columns, "title_score", "author_score", "score")
 
 
+def best_match(requests: DataFrame, catalog: DataFrame, threshold: float = 88.0, first: int = FIRST) -> DataFrame:
+    """The best of *all* candidates of each request, where it has ``threshold`` or more; ties go to the more popular edition.
+
+    The ``first`` most popular candidates are scored; what they reach is what others have to reach. Requests that have more
+    candidates then meet the rest by a bound of the score (``bounded``), and pairs below what they need are never made.
+    ``first`` changes the work, not the result. Editions of equal title and author are one text: only the most popular
+    can win. Requests without a title and empty tables give no rows.
+    """
+    keys = ["q_title", "q_author"]
+    popular = cut_lineage(score_candidates(request_candidates(requests, catalog, first), catalog))
+    leading = F.max(F.when(F.col("candidate_rank") <= first, F.col("score")))
+    reached = popular.groupBy(*keys).agg(F.max("score").alias("_best"), leading.alias("_lead"), F.count("*").alias("_n"))
+    # with fewer candidates all are scored; a full score among the most popular can't be beaten by less popular ones
+    unsettled = reached.where((F.col("_n") >= first) & (F.col("_lead") < 100 - 1e-9)).select(
+        *keys, F.greatest("_best", F.lit(float(threshold))).alias("need"))
+    probes = cut_lineage(request_probes(requests.join(unsettled, keys)))
+    texts = top_k(edition_texts(catalog), ["_t", "_a"], popularity_order(), 1, "_rank").drop("_rank")
+    answered = probe_postings(probes, texts).join(probes.select("t", "a").distinct(), ["t", "a"], "left_semi")
+    postings = answered.select("book_id", normalize_text("_t").alias("c_title"), normalize_text("_a").alias("c_author"), "t", "a")
+    pairs = reachable_pairs(probes, postings).join(popular.select(*keys, "book_id"), [*keys, "book_id"], "left_anti")
+    others = score_candidates(pairs, catalog)
+    both = popular.drop("candidate_rank").select(*others.columns).unionByName(others).where(F.col("score") >= threshold)
+    rated = both.join(catalog.select("book_id", "ratings_count", "bayesian_rating"), "book_id")
+    order = [F.col("score").desc(), *popularity_order()]
+    return top_k(rated, keys, order, 1, "_rank").drop("_rank", "ratings_count", "bayesian_rating")
+
+
 def argmax_match(scored: DataFrame, keys: list[str]) -> DataFrame:
     """Highest score per key; ties go to the more popular candidate."""
     order = [F.col("score").desc(), F.col("candidate_rank").asc()]
@@ -208,19 +249,23 @@ def argmax_match(scored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def local_match(
-    inputs: DataFrame, catalog: DataFrame, keys: list[str], threshold: float = 88.0, limit: int = 250
+    inputs: DataFrame, catalog: DataFrame, keys: list[str], threshold: float = 88.0, limit: int | None = None
 ) -> DataFrame:
     """ISBN first, then the best fuzzy title; (keys, book_id, score parts, via).
 
-    ``inputs`` has the keys and title, author, isbn. Equal inputs are matched once.
+    ``inputs`` has the keys and title, author, isbn. Equal inputs are matched once. With a ``limit`` only that many of the
+    most popular candidates, and exact titles, are looked at.
     """
     by_isbn = isbn_match_join(inputs, catalog).select(
         *keys, "book_id", F.lit(100.0).alias("score"), F.lit(None).cast("double").alias("title_score"),
         F.lit(None).cast("double").alias("author_score"), F.lit("isbn").alias("via"),
     )
     rest = inputs.join(by_isbn.select(*keys), keys, "left_anti")
-    candidates = request_candidates(match_requests(rest), catalog, limit)
-    best = argmax_match(score_candidates(candidates, catalog), ["q_title", "q_author"])
+    requests = match_requests(rest)
+    if limit is None:
+        best = best_match(requests, catalog, threshold)
+    else:
+        best = argmax_match(score_candidates(request_candidates(requests, catalog, limit), catalog), ["q_title", "q_author"])
     named = rest.where(F.coalesce("title", F.lit("")) != "").select(
         *keys, normalize_text("title").alias("q_title"), normalize_text("author").alias("q_author")
     )
@@ -260,7 +305,8 @@ def cold_start_text(volumes: DataFrame) -> DataFrame:
     return volumes.withColumn("cold_start_content_text", F.trim(F.concat_ws(" ", filled)))
 
 
-def enriched_match(volumes: DataFrame, catalog: DataFrame, keys: list[str], threshold: float = 90.0, limit: int = 250):
+def enriched_match(volumes: DataFrame, catalog: DataFrame, keys: list[str], threshold: float = 90.0,
+                   limit: int | None = None):
     """First external volume, in order, that leads to a catalog edition.
 
     ``volumes`` has the keys, position, title, authors, isbn10 and isbn13.
@@ -381,7 +427,7 @@ def match_books(
     keys: list[str],
     local: float = 88.0,
     enriched: float = 90.0,
-    limit: int = 250,
+    limit: int | None = None,
     volumes: DataFrame | None = None,
     hybrid_map: DataFrame | None = None,
     to_canonical: bool = True,

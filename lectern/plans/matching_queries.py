@@ -40,6 +40,9 @@ MATCH_SQL = {
         FROM request_words JOIN editions_d ON is_canonical_edition
         AND (len(t) = 0 OR len(list_filter(t, lambda x: contains(LOWER(COALESCE(title, '')), x))) > 0)
         AND (len(a) = 0 OR len(list_filter(a, lambda x: contains(LOWER(COALESCE(primary_author, '')), x))) > 0)) WHERE candidate_rank <= {LIMIT}""",
+    "blocked_all": """SELECT q_title, q_author, book_id FROM request_words JOIN editions_d ON is_canonical_edition
+        AND (len(t) = 0 OR len(list_filter(t, lambda x: contains(LOWER(COALESCE(title, '')), x))) > 0)
+        AND (len(a) = 0 OR len(list_filter(a, lambda x: contains(LOWER(COALESCE(primary_author, '')), x))) > 0)""",
     # the score is 100 exactly where one side's tokens are all on the other side, title and (if named) author
     "folded": f"SELECT *, {_FOLD.format('title')} AS c_title, {_FOLD.format('primary_author')} AS c_author FROM editions_d",
     "judged": f"""SELECT q_title, q_author, book_id, candidate_rank, {_INSIDE.format('q_title', 'c_title')} AS title_perfect,
@@ -49,7 +52,7 @@ MATCH_SQL = {
         FROM asked JOIN isbn_keys k ON isbn_key = REGEXP_REPLACE(UPPER(isbn), '[^0-9X]', '', 'g') JOIN editions_d e ON e.book_id = k.book_id""",
     "perfect_hits": f"""SELECT q_title, q_author, book_id, ROW_NUMBER() OVER (PARTITION BY q_title, q_author
         ORDER BY ratings_count DESC NULLS LAST, bayesian_rating DESC NULLS LAST, book_id) AS place FROM (
-        SELECT q_title, q_author, book_id FROM blocked UNION SELECT q_title, q_author, book_id FROM requests JOIN folded
+        SELECT q_title, q_author, book_id FROM blocked_all UNION SELECT q_title, q_author, book_id FROM requests JOIN folded
         ON is_canonical_edition AND q_title = c_title AND q_title <> '') JOIN folded USING (book_id)
         WHERE {_INSIDE.format('q_title', 'c_title')} AND (q_author = '' OR {_INSIDE.format('q_author', 'c_author')})""",
 }
@@ -184,7 +187,7 @@ def argmax_match(inp):
 
 def matched(inp: Inputs):
     volumes = enr.parse_volumes(landed(inp))
-    return ops.match_books(asked(inp), editions(inp), ["input_id"], limit=LIMIT, volumes=volumes)
+    return ops.match_books(asked(inp), editions(inp), ["input_id"], volumes=volumes)
 
 
 @query(
@@ -202,14 +205,42 @@ def match_books(inp):
     )
 
 
-@query("match_record")
+_SHOWN = ("title", "primary_author", "isbn", "isbn13", "primary_genre", "description")
+
+
+@query(
+    "match_record",
+    f"""SELECT a.input_id, TRUE AS known, b.book_id IS NOT NULL AS sure, CASE WHEN b.book_id IS NOT NULL THEN '{ops.MATCHED}' END AS status,
+    CASE WHEN b.book_id IS NOT NULL THEN '{ops.LOCAL}' END AS source, CASE WHEN b.book_id IS NOT NULL THEN 100.0::DOUBLE END AS confidence,
+    CASE WHEN i.book_id IS NOT NULL THEN '{ops.ISBN_EXACT}' WHEN b.book_id IS NOT NULL THEN '{ops.TITLE_FUZZY}' END AS match_method,
+    b.book_id AS local_book_id, b.work_id, {", ".join("b." + c for c in _SHOWN)}, CAST(b.publication_year AS INTEGER) AS publication_year,
+    CASE WHEN i.book_id IS NOT NULL THEN '{ops.NOTE_ISBN}' END AS isbn_note
+    FROM asked a LEFT JOIN isbn_hits i ON i.input_id = a.input_id
+    LEFT JOIN perfect_hits p ON p.place = 1 AND p.q_title = {_FOLD.format('a.title')} AND p.q_author = {_FOLD.format('a.author')}
+    LEFT JOIN editions_d b ON b.book_id = COALESCE(i.book_id, p.book_id)""",
+    MATCH_SQL,
+)
 def match_record(inp):
-    return matched(inp)
+    """The record of every input: whole where an ISBN or a full title score decides, its status and parts checked otherwise."""
+    records = matched(inp)
+    method, status = F.col("match_method"), F.col("status")
+    sure = (F.col("confidence") >= 100) & method.isin(ops.ISBN_EXACT, ops.TITLE_FUZZY)
+    fits = (
+        F.when(status == ops.MATCHED, F.col("local_book_id").isNotNull() & F.col("google_volume_id").isNull() & (F.col("confidence") >= 88))
+        .when(status == ops.COLD_START, F.col("local_book_id").isNull() & (F.col("cold_start_content_text") != ""))
+        .when(status == ops.UNMATCHED, F.col("local_book_id").isNull() & (F.col("confidence") == 0))
+    )
+    whole = ("status", "source", "confidence", "match_method", "local_book_id", "work_id", *_SHOWN, "publication_year")
+    return records.select(
+        "input_id", F.coalesce(fits & (F.size("notes") > 0), F.lit(False)).alias("known"), sure.alias("sure"),
+        *(F.when(sure, F.col(c)).alias(c) for c in whole),
+        F.when(sure & (method == ops.ISBN_EXACT), F.col("notes")[0]).alias("isbn_note"),
+    )
 
 
 @query("enriched_match")
 def enriched_match(inp):
-    hits = ops.enriched_match(enr.parse_volumes(landed(inp)), editions(inp), ["input_id"], limit=LIMIT)
+    hits = ops.enriched_match(enr.parse_volumes(landed(inp)), editions(inp), ["input_id"])
     return hits.select("input_id", "book_id", "score", "via")
 
 
@@ -292,7 +323,7 @@ def part_catalog(inp: Inputs):
 
 
 def imported(inp: Inputs):
-    return lib.import_library(cleaned(inp), part_catalog(inp), ["user_id"], limit=LIMIT)
+    return lib.import_library(cleaned(inp), part_catalog(inp), ["user_id"])
 
 
 @query("import_library")
