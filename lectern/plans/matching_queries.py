@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text
 from lectern.operators import enrichment as enr, library as lib, matching as ops
+from lectern.plans.catalog_queries import CATALOG_SQL
 from lectern.plans.content_queries import embedded
 from lectern.plans.inputs import Inputs, big, query
 from lectern.session import cut_lineage
@@ -283,7 +284,7 @@ _CLEAN = {
     "export_rows": _LIBRARY,
     "clean": """SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY goodreads_book_id, source_row) - 1 AS library_row_id FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, LOWER(title), author_key ORDER BY goodreads_book_id, source_row) AS rn FROM (
-        SELECT user_id, event_id AS source_row, CAST("Book Id" AS BIGINT) AS goodreads_book_id, "Title" AS title,
+        SELECT user_id, event_id AS source_row, CAST("Book Id" AS BIGINT) AS goodreads_book_id, "Title" AS title, "Author" AS author,
         TRIM(REGEXP_REPLACE(LOWER("Author"), '[^a-z0-9]+', ' ', 'g')) AS author_key, LOWER(TRIM("Exclusive Shelf")) AS exclusive_shelf,
         CAST("My Rating" AS DOUBLE) AS my_rating FROM export_rows) WHERE exclusive_shelf IN ('read', 'currently-reading', 'to-read')) WHERE rn = 1""",
 }
@@ -326,10 +327,37 @@ def imported(inp: Inputs):
     return lib.import_library(cleaned(inp), part_catalog(inp), ["user_id"])
 
 
-@query("import_library")
+_IMPORT = {
+    **_CLEAN,
+    "editions": CATALOG_SQL["editions"],
+    "canonical_parts": f"""SELECT book_id, title, primary_author, ratings_count, average_rating, {_FOLD.format('title')} AS c_title,
+        {_FOLD.format('primary_author')} AS c_author FROM books JOIN editions USING (book_id) WHERE edition_rank = 1""",
+    "library_requests": f"""SELECT *, {_WORDS.format('q_title', 4)} AS t, {_WORDS.format('q_author', 2)} AS a FROM (
+        SELECT DISTINCT {_FOLD.format('title')} AS q_title, {_FOLD.format('author')} AS q_author FROM clean WHERE COALESCE(title, '') <> '')""",
+    # all candidates of full score: a shared token of title and author, or an equal title
+    "library_hits": f"""SELECT q_title, q_author, book_id, ROW_NUMBER() OVER (PARTITION BY q_title, q_author
+        ORDER BY ratings_count DESC NULLS LAST, average_rating DESC NULLS LAST, book_id) AS place FROM library_requests JOIN canonical_parts
+        ON {_INSIDE.format('q_title', 'c_title')} AND (q_author = '' OR {_INSIDE.format('q_author', 'c_author')}) AND (q_title = c_title OR (
+        (len(t) = 0 OR len(list_filter(t, lambda x: contains(LOWER(COALESCE(title, '')), x))) > 0)
+        AND (len(a) = 0 OR len(list_filter(a, lambda x: contains(LOWER(COALESCE(primary_author, '')), x))) > 0)))""",
+}
+
+
+@query(
+    "import_library",
+    f"""SELECT user_id, library_row_id, title AS input_title, author AS input_author, TRUE AS known,
+    CASE WHEN h.book_id IS NOT NULL THEN '{ops.TITLE_FUZZY}' END AS sure_method, h.book_id AS sure_book_id
+    FROM clean LEFT JOIN library_hits h ON h.place = 1 AND h.q_title = {_FOLD.format('title')} AND h.q_author = {_FOLD.format('author')}""",
+    _IMPORT,
+)
 def import_library(inp):
+    """Every cleaned row with the book of a full score; a match below it reaches the threshold, the rest has none."""
+    sure = F.coalesce(F.col("match_confidence") >= 100, F.lit(False))
+    fits = F.when(F.col("match_status") == ops.MATCHED, F.col("local_book_id").isNotNull() & (F.col("match_confidence") >= 88)).otherwise(
+        (F.col("match_status") == ops.UNMATCHED) & F.col("local_book_id").isNull())
     return imported(inp).select(
-        "user_id", "library_row_id", "input_title", "input_author", "match_status", "match_method", "match_confidence", "local_book_id"
+        "user_id", "library_row_id", "input_title", "input_author", F.coalesce(fits, F.lit(False)).alias("known"),
+        F.when(sure, F.col("match_method")).alias("sure_method"), F.when(sure, F.col("local_book_id")).alias("sure_book_id"),
     )
 
 
