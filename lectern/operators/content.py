@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.text import ngrams, tokenize
-from lectern.operators.ranking import rank_rows, top_n
+from lectern.operators.ranking import first_rows, rank_rows, top_n
 from lectern.session import cut_lineage
 
 
@@ -48,13 +48,15 @@ def content_text(documents: DataFrame, minimum_description: int = 40) -> DataFra
 def fit_sample(documents: DataFrame, size: int | str | None = None, key: str = "book_id") -> DataFrame:
     """All non-blank documents, or the ``size`` with the smallest id hash where the caller asks for a sample.
 
-    Only ids are ordered; the texts come back by a semi join.
+    Counts of hash digits tell where the sample ends, so neither ids nor texts are sorted.
     """
     texts = documents.where(F.length(F.trim("content_text")) > 0).select(key, "content_text")
     if size in (None, "all") or int(size) <= 0:
         return texts
-    drawn = top_n(texts.select(key), [F.md5(F.col(key).cast("string")).asc(), F.col(key).asc()], int(size), "_place")
-    return texts.join(drawn.select(key), key, "left_semi")
+    code = F.md5(F.col(key).cast("string"))
+    wanted = texts.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(int(size)).cast("bigint").alias("_take"))
+    bins = [F.substring(code, 1, 3), F.substring(code, 4, 3)]
+    return first_rows(texts.withColumn("_all", F.lit(0)), ["_all"], wanted, bins, [code.asc(), F.col(key).asc()]).drop("_all")
 
 
 def allocate_sample(counts: DataFrame, key: str, requested: int) -> DataFrame:
@@ -76,9 +78,10 @@ def allocate_sample(counts: DataFrame, key: str, requested: int) -> DataFrame:
 def stratified_sample(df: DataFrame, key: str, row_id: str, requested: int, seed: int = 42) -> DataFrame:
     """Seeded draw without replacement with ``allocate_sample`` rows per stratum."""
     wanted = allocate_sample(df.groupBy(key).agg(F.count("*").alias("rows")), key, requested)
-    order = [F.xxhash64(F.col(row_id), F.lit(seed)).asc(), F.col(row_id).asc()]
-    ranked = rank_rows(df, [key], order, "_draw")
-    return ranked.join(wanted, key).where(F.col("_draw") <= F.col("sample_rows")).select(*df.columns)
+    code = F.xxhash64(F.col(row_id), F.lit(seed))
+    bins = [F.shiftright(code, 52), F.shiftright(code, 40).bitwiseAND(F.lit(0xFFF))]
+    take = wanted.select(key, F.col("sample_rows").alias("_take"))
+    return first_rows(df, [key], take, bins, [code.asc(), F.col(row_id).asc()]).select(*df.columns)
 
 
 def document_terms(documents: DataFrame, ngram_max: int = 2, text: str = "content_text", key: str = "book_id") -> DataFrame:

@@ -164,3 +164,34 @@ def grouped_quantile(
 ) -> DataFrame:
     """Interpolated quantile of the non-null values per key (one row without keys)."""
     return counted_quantile(value_counts(df, keys, value), keys, value, q, out, split_rows)
+
+
+def _cut(bins: DataFrame, keys: list[str], bin_: str, take: str, n: int) -> DataFrame:
+    """(keys, _cut<n>, _rest<n>): the bin in which the wanted rows of a key run out, and how many are wanted from it."""
+    counted = cut_lineage(bins.groupBy(*keys, take, bin_).agg(F.count("*").alias("_n")))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(bin_).rowsBetween(Window.unboundedPreceding, 0))
+    run = counted.withColumn("_upto", upto).where(F.col("_upto") - F.col("_n") < F.col(take))
+    last = F.max_by(F.struct(bin_, F.least(F.col(take) - F.col("_upto") + F.col("_n"), F.col("_n")).alias("_r")), bin_)
+    return run.groupBy(*keys).agg(last.alias("_l")).select(*keys, F.col(f"_l.{bin_}").alias(f"_cut{n}"), F.col("_l._r").alias(f"_rest{n}"))
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], wanted: DataFrame, bins: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """The first rows of each key by ``order``, as many as ``wanted`` (keys, _take) says, without ranking the table.
+
+    ``bins`` are two columns of few values, the first digits of what ``order`` sorts by. Counts by bin, combined in the map
+    tasks, give the bin in which the wanted rows run out; counts by the second bin cut that one. Rows before the cut pass a
+    filter and never move, only those of the last small bin are ranked. Keys that are null or not wanted give no rows, a key
+    with fewer rows gives all; repeated rows count each.
+    """
+    keys, order = list(keys), list(order)
+    named = df.withColumns({"_bin0": bins[0], "_bin1": bins[1]})
+    wanted = wanted.where(F.col("_take") > 0).select(*keys, "_take")
+    thin = named.select(*keys, "_bin0", "_bin1")
+    first = cut_lineage(_cut(thin.join(wanted, keys), keys, "_bin0", "_take", 0))
+    inside = thin.join(first, keys).where(F.col("_bin0") == F.col("_cut0"))
+    cuts = cut_lineage(first.join(_cut(inside, keys, "_bin1", "_rest0", 1), keys))
+    placed = named.join(cuts, keys)
+    before = (F.col("_bin0") < F.col("_cut0")) | ((F.col("_bin0") == F.col("_cut0")) & (F.col("_bin1") < F.col("_cut1")))
+    on_it = (F.col("_bin0") == F.col("_cut0")) & (F.col("_bin1") == F.col("_cut1"))
+    ranked = rank_rows(placed.where(on_it), keys, order, "_place").where(F.col("_place") <= F.col("_rest1"))
+    return placed.where(before).select(*df.columns).unionByName(ranked.select(*df.columns))

@@ -93,3 +93,25 @@ def test_density(docs):
     model, weights = content.tfidf_fit_transform(docs, 100, 1, 1.0)
     row = content.matrix_density(weights, 4, model.vocabulary.count()).first()
     assert row["density"] == pytest.approx(row["nonzero_values"] / (4 * row["columns"]))
+
+
+def test_samples_equal_full_ranking(spark):
+    """A third of the rows in one stratum, a null stratum, strata that want nothing, all or one row."""
+    from lectern.operators.ranking import first_rows
+
+    data = [(i, "hot" if i % 3 == 0 else None if i % 31 == 0 else f"s{i % 7}", i % 5) for i in range(3000)]
+    df = spark.createDataFrame(data, "id bigint, s string, value int").repartition(5)
+    wanted = {"hot": 700, "s0": 0, "s1": 1, "s2": 10_000, "s3": 33, "absent": 4}
+    take = spark.createDataFrame(list(wanted.items()), "s string, _take bigint")
+    code = F.xxhash64("id", F.lit(42))
+    codes = dict(df.select("id", code).collect())
+    got = {}
+    # bins of few values, so that the last one holds many rows to rank
+    for shift in (52, 62):
+        bins = [F.shiftright(code, shift), F.shiftright(code, shift - 2).bitwiseAND(F.lit(3)) if shift == 62 else F.shiftright(code, 40).bitwiseAND(F.lit(0xFFF))]
+        drawn = first_rows(df, ["s"], take, bins, [code.asc(), F.col("id").asc()]).collect()
+        got[shift] = sorted((r["s"], r["id"]) for r in drawn)
+    want = sorted(
+        (s, i) for s, n in wanted.items() for i in sorted((i for i, t, _ in data if t == s), key=lambda i: (codes[i], i))[:n])
+    assert got[52] == want and got[62] == want
+    assert first_rows(df.limit(0), ["s"], take, [F.lit(0), F.lit(0)], [F.col("id").asc()]).count() == 0
