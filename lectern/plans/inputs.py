@@ -7,11 +7,12 @@ table. The same text feeds ``spark.sql`` and, as a WITH chain, the check SQL.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lectern.session import ship_package, tune
+from lectern.session import shared_dir, ship_package, tune
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -110,6 +111,11 @@ class Inputs:
         return self.spark.sql(text, **used)
 
 
+def place(inp: Inputs, name: str) -> str:
+    """A new path in the folder the cluster shares."""
+    return f"{shared_dir(inp.spark)}/tables/{uuid.uuid4().hex}/{name}"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 

@@ -8,8 +8,9 @@ from lectern.functions import text
 from lectern.operators import enrichment as enr, library as lib, matching as ops
 from lectern.plans.catalog_queries import CATALOG_SQL
 from lectern.plans.content_queries import embedded
-from lectern.plans.inputs import Inputs, big, query
+from lectern.plans.inputs import Inputs, big, place, query
 from lectern.session import cut_lineage
+from lectern.sources import cache_table
 
 LIMIT = 250
 _FOLD = "TRIM(REGEXP_REPLACE(REPLACE(LOWER(strip_accents(COALESCE({0}, ''))), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
@@ -504,12 +505,19 @@ def cache_lookup(inp):
     _CACHE,
 )
 def cache_upsert(inp):
-    return enr.cache_upsert(cache(inp), fetched(inp))
+    """A stored cache after an upsert of its touched buckets."""
+    path = place(inp, "cache")
+    cache_table.create(cache(inp), path)
+    cache_table.upsert(fetched(inp), path)
+    return cache_table.read(inp.spark, path)
 
 
 @query("cache_expire", f"SELECT cache_key, fetched_at, response_json, expires_at FROM stored WHERE expires_at > TIMESTAMP '{NOW}'", _CACHE)
 def cache_expire(inp):
-    return enr.cache_expire(cache(inp), F.lit(NOW).cast("timestamp"))
+    path = place(inp, "expired-cache")
+    cache_table.create(cache(inp), path)
+    cache_table.expire(inp.spark, path, F.lit(NOW).cast("timestamp"))
+    return cache_table.read(inp.spark, path)
 
 
 @query("cold_start_recommend")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,23 +12,17 @@ from lectern.plans.catalog_queries import CATALOG_SQL, catalog
 from lectern.operators.library import distribution_counts
 from lectern.plans.content_queries import CONTENT_SQL, embedded
 from lectern.plans.graph_queries import GRAPH_SQL, MIN_USER, core, filtered, training
-from lectern.plans.inputs import Inputs, query, r6
+from lectern.plans.inputs import Inputs, place, query, r6
 from lectern.plans.matching_queries import _LIBRARY, export
 from lectern.plans.personal_queries import EXPLAINED, PERSONAL_SQL, TEXT_SQL, profile, recommended, with_best_evidence
 from lectern.plans.popularity_queries import POPULARITY_SQL, scored
 from lectern.plans.vector_queries import VECTOR_SQL, content_space
-from lectern.session import shared_dir
 from lectern.sources import readers, writers
 
 
-def _place(inp: Inputs, name: str) -> str:
-    """A new path in the folder the cluster shares."""
-    return f"{shared_dir(inp.spark)}/tables/{uuid.uuid4().hex}/{name}"
-
-
 @query("read_jsonl", "SELECT conv_id, turn, role, text FROM {conversations}")
 def read_jsonl(inp):
-    path = _place(inp, "conversations.json.gz")
+    path = place(inp, "conversations.json.gz")
     rows = inp.table("conversations")
     rows.write.option("compression", "gzip").json(path)
     return readers.read_jsonl(inp.spark, path, rows.schema, partitions=8)
@@ -37,7 +30,7 @@ def read_jsonl(inp):
 
 @query("read_interactions", "SELECT user_id, book_id, is_read, rating, is_reviewed FROM interactions")
 def read_interactions(inp):
-    path = _place(inp, "interactions.csv")
+    path = place(inp, "interactions.csv")
     columns = ["is_reviewed", "rating", "user_id", "book_id", "is_read"]
     inp.view("interactions").select(*columns).write.option("header", True).csv(path)
     return readers.read_interactions(inp.spark, path)
@@ -48,7 +41,7 @@ def read_interactions(inp):
     f"SELECT p_partkey AS book_id_csv, CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE {2**53} + p_partkey END AS book_id FROM {{part}}",
 )
 def read_id_map(inp):
-    path = _place(inp, "id_map.csv")
+    path = place(inp, "id_map.csv")
     key = F.col("p_partkey")
     shown = F.when(key % 10 == 3, "unknown").otherwise((F.lit(2**53) + key).cast("string"))
     inp.table("part").select(key.alias("book_id_csv"), shown.alias("book_id")).write.option("header", True).csv(path)
@@ -62,7 +55,7 @@ def read_id_map(inp):
     {"export_rows": _LIBRARY},
 )
 def read_library_export(inp):
-    path = _place(inp, "library.csv")
+    path = place(inp, "library.csv")
     shown = export(inp).select(
         "Book Id", F.col("Title").alias(" Title "), "Author", "Exclusive Shelf", "My Rating"
     )
@@ -76,14 +69,14 @@ def read_library_export(inp):
 
 @query("read_table", "SELECT p_partkey, p_name, p_brand FROM {part}")
 def read_table(inp):
-    path = _place(inp, "part.parquet")
+    path = place(inp, "part.parquet")
     writers.write_parquet(inp.table("part").select("p_partkey", "p_name", "p_brand"), path)
     return readers.read_table(inp.spark, path)
 
 
 @query("write_parquet", "SELECT * FROM {orders}")
 def write_parquet(inp):
-    path = _place(inp, "orders")
+    path = place(inp, "orders")
     writers.write_parquet(inp.table("orders"), path, "zstd")
     return inp.spark.read.parquet(path)
 
@@ -91,7 +84,7 @@ def write_parquet(inp):
 @query("output_policy", "SELECT n_nationkey, n_name FROM {nation}")
 def output_policy(inp):
     """A second write is skipped, so the first rows stay."""
-    path = _place(inp, "nation")
+    path = place(inp, "nation")
     nations = inp.table("nation").select("n_nationkey", "n_name")
     writers.write_parquet(nations, path)
     writers.write_parquet(nations.withColumn("n_name", F.lit("later")), path, policy="skip")
@@ -106,7 +99,7 @@ def output_policy(inp):
 def write_partitioned(inp):
     from lectern.functions.scoring import user_bucket
 
-    path = _place(inp, "interactions")
+    path = place(inp, "interactions")
     edges = graph.positive_interactions(inp.view("interactions")).withColumn("user_bucket", user_bucket())
     writers.write_partitioned(edges, path, files_per_bucket=2)
     return inp.spark.read.parquet(path).groupBy(F.col("user_bucket").cast("bigint").alias("user_bucket")).agg(
@@ -117,7 +110,7 @@ def write_partitioned(inp):
 @query("write_multi_format", "SELECT vec_id, label FROM {embeddings}")
 def write_multi_format(inp):
     """Rows that all three formats give back alike."""
-    path = _place(inp, "vectors")
+    path = place(inp, "vectors")
     rows = inp.table("embeddings").select("vec_id", "label", "embedding")
     paths = writers.write_multi_format(rows, path, "vectors")
     read = inp.spark.read.parquet(paths["parquet"])
@@ -132,7 +125,7 @@ def write_multi_format(inp):
 
 @query("verify_row_count", "SELECT 'lineitem' AS source, COUNT(*) AS rows FROM {lineitem}")
 def verify_row_count(inp):
-    path, rows = _place(inp, "lineitem"), inp.table("lineitem").select("l_orderkey", "l_partkey")
+    path, rows = place(inp, "lineitem"), inp.table("lineitem").select("l_orderkey", "l_partkey")
     found = writers.write_verified(rows, path)
     return inp.spark.createDataFrame([("lineitem", found)], "source string, rows long")
 
@@ -153,7 +146,7 @@ _LINE = "concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_q
 def source_inventory(inp):
     """All of lineitem written as text files, one for each remainder of the supplier, listed with the sizes and digests that
     their rows must give (those over 64 KB by ranges), and a source that is not there."""
-    path = _place(inp, "lineitem.txt")
+    path = place(inp, "lineitem.txt")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
     line = F.concat_ws(",", *order[:4], F.col("l_quantity").cast("bigint"), "l_returnflag", "l_linestatus")
     part = F.lpad((F.col("l_suppkey") % 32).cast("string"), 2, "0")
@@ -249,7 +242,7 @@ def _gate_sql(name: str, observed: str, expected: str, passed: str, source: str)
 )
 def q_rows(inp):
     """The gate on a whole write, which passes, and on one that lost rows, which does not."""
-    path, rows = _place(inp, "orders"), inp.table("orders").select("o_orderkey")
+    path, rows = place(inp, "orders"), inp.table("orders").select("o_orderkey")
     writers.write_parquet(rows, path)
     written = inp.spark.read.parquet(path)
     return gates.q_rows(written, rows).unionByName(gates.q_rows(written.where(F.col("o_orderkey") % 3 > 0), rows))
