@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.functions.scoring import shares
 from lectern.functions.vectors import concat_scaled, l2_norm, l2_normalize, rows_of
+from lectern.operators import balls as around
 from lectern.operators.ranking import dense_index, top_k
+from lectern.session import cut_lineage
 
 # rows per block; a block of 20 000 x 192 doubles is 30 MB
 ITEM_BLOCK = 20_000
@@ -84,40 +86,53 @@ def knn_topk(
 
     ``extra`` names an integer column of the queries: so many items more than ``k`` are found for that query.
 
-    Both sides are hashed into blocks of bounded size; every pair of blocks is one
-    matrix product that keeps k rows per query, and the kept rows are merged per
-    query. Zero, infinite and missing vectors take no part.
+    Blocks are of bounded size; a pair of blocks is one matrix product that keeps k
+    rows per query, and the kept rows are merged per query. Items of several blocks
+    lie in balls around pivots (``balls``), and a query leaves out those that can't
+    hold an answer. Zero, infinite and missing vectors take no part.
     """
     unit = lambda df, key, name, *more: df.select(F.col(key).alias(name), l2_normalize(vector).alias("vector"), *more).where(
         F.col("vector").isNotNull()
     )
     wanted = (F.lit(k) + F.coalesce(F.col(extra), F.lit(0)) if extra else F.lit(k)).cast("bigint")
     left, right = unit(queries, by, "query", wanted.alias("wanted")), unit(items, item_id, "item")
-    item_blocks = _blocks(items.count(), item_block)
+    total = items.count()
+    item_blocks = _blocks(total, item_block)
     # small inputs still use every core
     cores = queries.sparkSession.sparkContext.defaultParallelism
     sizes = queries.agg(F.count("*"), F.max(wanted)).first()
     asked, most = sizes[0], sizes[1] or k
     query_blocks = max(_blocks(asked, query_block), min(_blocks(asked, 64), _blocks(cores, item_blocks)))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    left = left.withColumn("qb", own("query", query_blocks)).withColumn("ib", spread(item_blocks))
-    right = right.withColumn("ib", own("item", item_blocks)).withColumn("qb", spread(query_blocks))
     kinds = (queries.schema[by].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
-    # a partition for each pair of blocks, however the session is set
-    parts = min(item_blocks * query_blocks, MOST_PARTITIONS)
-    found = (
-        left.repartition(parts, "qb", "ib").groupBy("qb", "ib")
-        .cogroup(right.repartition(parts, "qb", "ib").groupBy("qb", "ib"))
-        .applyInArrow(
-            _score_block(by, item_id), f"{by} {kinds[0]}, {item_id} {kinds[1]}, similarity double"
+    score = _score_block(by, item_id), f"{by} {kinds[0]}, {item_id} {kinds[1]}, similarity double"
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+
+    def products(asking: DataFrame, held: DataFrame, keys: list[str], pairs: int) -> DataFrame:
+        """Matrix products of the query and item blocks with equal keys, a partition for each pair however the session is set."""
+        parts = min(pairs, MOST_PARTITIONS)
+        return (
+            asking.repartition(parts, *keys).groupBy(*keys)
+            .cogroup(held.repartition(parts, *keys).groupBy(*keys))
+            .applyInArrow(*score)
         )
-    )
-    best = top_k(found, [by], [F.col("similarity").desc(), F.col(item_id).asc()], most, "rank")
+
+    order = [F.col("similarity").desc(), F.col(item_id).asc()]
+    if item_blocks == 1:
+        found = products(left.withColumn("qb", own("query", query_blocks)), right.withColumn("qb", blocks), ["qb"], query_blocks)
+    else:
+        held, balls = around.build(right, total, item_block)
+        held, keys, pairs = held.withColumn("qb", blocks), ["ball", "part", "qb"], int(balls.parts.sum()) * query_blocks
+        search = lambda df, first: products(balls.visits(df, first).withColumn("qb", own("query", query_blocks)), held, keys, pairs)
+        near = cut_lineage(top_k(search(left, True), [by], order, most, "_rank"))
+        floors = near.select(F.col(by).alias("_query"), F.col("_rank").cast("bigint").alias("_rank"), F.col("similarity").alias("floor"))
+        asking = left.join(floors, (F.col("query") == F.col("_query")) & (F.col("wanted") == F.col("_rank")), "left")
+        found = near.drop("_rank").unionByName(search(asking, False))
+    best = top_k(found, [by], order, most, "rank")
     if extra is None:
         return best
-    own = queries.select(F.col(by), wanted.alias("_wanted"))
-    return best.join(own, by).where(F.col("rank") <= F.col("_wanted")).drop("_wanted")
+    limits = queries.select(F.col(by), wanted.alias("_wanted"))
+    return best.join(limits, by).where(F.col("rank") <= F.col("_wanted")).drop("_wanted")
 
 
 def similar_items(

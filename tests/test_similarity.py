@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from lectern.operators import quality, similarity as sim
+from lectern.operators import balls, quality, similarity as sim
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +57,55 @@ def test_hybrid_embedding(spark):
     b = spark.createDataFrame([(1, [0.0, 5.0])], "book_id int, vector array<double>")
     row = sim.hybrid_embedding(a, b, 1.0, 3.0).collect()
     assert len(row) == 1 and row[0]["vector"] == pytest.approx([0.5, 0, 0, np.sqrt(0.75)])
+
+
+def clustered(rng, centres, rows, width):
+    middle = rng.standard_normal((centres, width)) * 4
+    return middle[rng.integers(0, centres, rows)] + rng.standard_normal((rows, width)) * 0.3
+
+
+def test_balls_leave_out_most_blocks_and_no_answer(spark):
+    rng = np.random.default_rng(11)
+    vectors = clustered(rng, 20, 1500, 12)
+    vectors[:500] = vectors[0]  # a third of all rows are copies: their ball is dealt over parts
+    queries = np.vstack([clustered(rng, 20, 30, 12), vectors[:2], -vectors[700:702]])
+    unit = lambda m: m / np.linalg.norm(m, axis=1)[:, None]
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit(vectors))], "item long, vector array<double>")
+    held, found = balls.build(items, 1500, 50)
+    sizes = [r["count"] for r in held.groupBy("ball", "part").count().collect()]
+    assert sum(sizes) == 1500 and max(sizes) < 120 and found.parts.max() >= 10
+    cosine = np.round(unit(queries) @ unit(vectors).T, 9)
+    wanted = np.full(len(queries), 5)
+    home, bound = found.route(unit(queries), wanted)
+    of = {r["item"]: r["ball"] for r in held.collect()}
+    ball_of = np.array([of[i] for i in range(1500)])
+    # no item is nearer than its ball's bound, and the first balls hold enough items
+    assert (cosine <= bound[:, ball_of] + 1e-9).all()
+    assert ((home * found.count).sum(axis=1) >= 5).all()
+    asked = spark.createDataFrame(
+        [(i, 5, v.tolist(), float(np.sort(c)[-5])) for i, (v, c) in enumerate(zip(unit(queries), cosine))],
+        "query long, wanted long, vector array<double>, floor double",
+    )
+    first, later = ({(r["query"], r["ball"]) for r in found.visits(asked, f).collect()} for f in (True, False))
+    assert not first & later and len(first) + len(later) < 0.6 * len(queries) * (found.count > 0).sum()
+    # without a floor all the others are visited
+    every = found.visits(asked.drop("floor").selectExpr("*", "cast(null as double) as floor"), False)
+    assert every.select("query", "ball").distinct().count() == len(queries) * (found.count > 0).sum() - len(first)
+
+
+@pytest.mark.parametrize("extra", [None, "more"])
+def test_search_in_balls_equals_brute_force(spark, extra):
+    rng = np.random.default_rng(12)
+    vectors = clustered(rng, 8, 400, 6)
+    vectors[:130] = vectors[0]
+    queries = clustered(rng, 8, 20, 6)
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "book_id long, vector array<double>")
+    asked = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(queries)], "user_id long, vector array<double>, more int")
+    lists = {}
+    for r in sim.knn_topk(asked, items, 4, item_block=60, query_block=50, extra=extra).collect():
+        lists.setdefault(r["user_id"], []).append((r["rank"], r["book_id"]))
+    unit = lambda m: m / np.linalg.norm(m, axis=1)[:, None]
+    cosine = np.round(unit(queries) @ unit(vectors).T, 9)
+    for u in range(20):
+        best = sorted(range(400), key=lambda i: (-cosine[u, i], i))[: 4 + (u % 3 if extra else 0)]
+        assert [i for _, i in sorted(lists[u])] == best
