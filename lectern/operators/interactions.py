@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.scoring import interaction_weight, is_positive, preference_signal, user_bucket
 from lectern.operators.ranking import top_k
@@ -60,6 +62,106 @@ def interaction_catalog_join(edges: DataFrame, mapped: DataFrame) -> DataFrame:
     return edges.join(mapped.select("item_id", "local_book_id", "work_id"), "item_id")
 
 
+# edges are kept by so many buckets of their user and of their item
+EDGE_BUCKETS = 64
+# tables of changes that are summed up into one
+COMPACTED = 16
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(EDGE_BUCKETS)).cast("int")
+
+
+def _bucketed(edges: DataFrame, key: str, other: str) -> DataFrame:
+    """The edges in a folder for each bucket of ``key``; a hot key's edges are dealt over tasks by the other end."""
+    salt = F.pmod(F.xxhash64(other), F.lit(16))
+    return cut_lineage(edges.withColumn("_bucket", _bucket(key)).repartition("_bucket", salt), "_bucket")
+
+
+def _degrees(edges: DataFrame, key: str, sign: Column) -> DataFrame:
+    """Per node: edges, rated edges and sum of ratings, each edge counted ``sign`` times."""
+    rating = F.col("rating").cast("int")
+    rated = lambda amount: F.sum(F.when(rating > 0, amount).otherwise(0))
+    return edges.groupBy(key).agg(
+        F.sum(sign).alias("edges"), rated(sign).alias("rated"), rated(sign * rating).alias("total")
+    )
+
+
+def _summed(history: list[DataFrame], key: str) -> DataFrame:
+    rows = reduce(DataFrame.unionByName, history)
+    return rows.groupBy(key).agg(*(F.sum(c).alias(c) for c in ("edges", "rated", "total")))
+
+
+class _Side:
+    """The nodes of one side: their degrees as a first count and the changes since."""
+
+    def __init__(self, key: str, minimum: int, average: str, counted: DataFrame):
+        self.key, self.minimum, self.average = key, max(minimum, 1), average
+        self.history = [cut_lineage(counted)]
+        self.size = self.history[0].where(F.col("edges") >= self.minimum).count()
+
+    def change(self, delta: DataFrame) -> DataFrame:
+        """Takes over the changes; gives the nodes that became eligible (1) or ceased to be (-1). Only nodes in ``delta`` are looked at."""
+        delta = cut_lineage(delta)
+        before = _summed([past.join(delta.select(self.key), self.key, "left_semi") for past in self.history], self.key)
+        was = F.coalesce(F.col("_was"), F.lit(0))
+        fits = lambda degree: (degree >= self.minimum).cast("int")
+        joined = delta.join(before.select(self.key, F.col("edges").alias("_was")), self.key, "left")
+        moved = joined.withColumn("sign", fits(was + F.col("edges")) - fits(was)).where(F.col("sign") != 0)
+        moved = cut_lineage(moved.select(self.key, "sign"))
+        self.history.append(delta)
+        if len(self.history) > COMPACTED:
+            self.history = [cut_lineage(_summed(self.history, self.key))]
+        self.size += moved.agg(F.coalesce(F.sum("sign"), F.lit(0))).first()[0]
+        return moved
+
+    def eligible(self) -> DataFrame:
+        found = _summed(self.history, self.key).where(F.col("edges") >= self.minimum)
+        mean = F.when(F.col("rated") > 0, F.col("total").cast("double") / F.col("rated"))
+        return found.select(
+            self.key, F.col("edges").alias("interaction_count"), F.col("rated").alias("rating_count"), mean.alias(self.average)
+        )
+
+
+def _sent(edges: DataFrame, moved: DataFrame, by: str, to: str) -> DataFrame | None:
+    """Changes of degree that the moved nodes send along their edges; None if no node moved.
+
+    Only the buckets of moved nodes are read, at most ``EDGE_BUCKETS`` numbers reach the driver.
+    """
+    buckets = [r[0] for r in moved.select(_bucket(by)).distinct().collect()]
+    if not buckets:
+        return None
+    return _degrees(edges.where(F.col("_bucket").isin(buckets)).join(moved, by), to, F.col("sign"))
+
+
+def _peel(
+    edges: DataFrame, recounted: DataFrame, users: DataFrame, min_item: int, min_user: int, max_iter: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """The refinements of ``kcore_filter`` by what changes: after the first, only nodes that became eligible or ceased to be
+    send +1 or -1 along their edges, and only nodes which these reach are looked at again."""
+    by_user, by_item = _bucketed(recounted, "user_id", "item_id"), _bucketed(edges, "item_id", "user_id")
+    one = F.lit(1)
+    items = _Side("item_id", min_item, "average_user_rating", _degrees(kcore_semi_join(by_user, users, "user_id"), "item_id", one))
+    kept = items.history[0].where(F.col("edges") >= items.minimum)
+    found = _Side("user_id", min_user, "average_rating", _degrees(kcore_semi_join(by_item, kept, "item_id"), "user_id", one))
+    now = found.history[0].where(F.col("edges") >= found.minimum).select("user_id")
+    gone, come = users.select("user_id").join(now, "user_id", "left_anti"), now.join(users, "user_id", "left_anti")
+    moved = cut_lineage(gone.withColumn("sign", F.lit(-1)).unionByName(come.withColumn("sign", one)))
+    step, sizes = 1, (items.size, found.size)
+    while max_iter is None or step < max_iter:
+        delta = _sent(by_user, moved, "user_id", "item_id")
+        if delta is None:
+            break
+        delta = _sent(by_item, items.change(delta), "item_id", "user_id")
+        if delta is None:
+            break
+        moved = found.change(delta)
+        step, previous, sizes = step + 1, sizes, (items.size, found.size)
+        if sizes == previous:
+            break
+    return cut_lineage(items.eligible()), cut_lineage(found.eligible())
+
+
 def kcore_filter(
     interactions: DataFrame,
     mapped: DataFrame,
@@ -74,19 +176,22 @@ def kcore_filter(
     Items are first counted over mapped edges, users over the edges of those items;
     each refinement recounts items over eligible users (mapped or not, unless
     ``require_mapped``) and users over eligible items. It stops after ``max_iter``
-    refinements or once both counts repeat; ``until_converged`` lifts the limit.
+    refinements or once both counts repeat; ``until_converged`` lifts the limit. Beyond
+    two refinements only changes are counted (``_peel``).
     """
     edges = cut_lineage(positive_interactions(interactions).select("user_id", "item_id", "rating"))
     catalogued = interaction_catalog_join(edges, mapped).select("user_id", "item_id", "rating")
     recounted = catalogued if require_mapped else edges
     items = cut_lineage(item_stats(catalogued, min_item))
     users = cut_lineage(user_stats(kcore_semi_join(edges, items, "item_id"), min_user))
+    if until_converged or max_iter > 2:
+        return _peel(edges, recounted, users, min_item, min_user, None if until_converged else max_iter)
     sizes, step = None, 0
-    while until_converged or step < max_iter:
+    while step < max_iter:
         items = cut_lineage(item_stats(kcore_semi_join(recounted, users, "user_id"), min_item))
         users = cut_lineage(user_stats(kcore_semi_join(edges, items, "item_id"), min_user))
         step += 1
-        if step == max_iter and not until_converged:
+        if step == max_iter:
             break
         previous, sizes = sizes, (items.count(), users.count())
         if sizes == previous:

@@ -24,11 +24,17 @@ GRAPH_SQL = {
     "users0": f"""SELECT user_id, {_STATS} AS average_rating FROM positives WHERE item_id IN (SELECT item_id FROM items0)
         GROUP BY user_id HAVING COUNT(*) >= {MIN_USER}""",
 }
-for _step in (1, 2):
-    GRAPH_SQL[f"items{_step}"] = f"""SELECT item_id, {_STATS} AS average_user_rating FROM positives
+
+#: refinements after which the given tables have long stopped changing
+CONVERGED = 16
+_CORES = {}
+for _step in range(1, CONVERGED + 1):
+    _CORES[f"items{_step}"] = f"""SELECT item_id, {_STATS} AS average_user_rating FROM positives
         WHERE user_id IN (SELECT user_id FROM users{_step - 1}) GROUP BY item_id HAVING COUNT(*) >= {MIN_ITEM}"""
-    GRAPH_SQL[f"users{_step}"] = f"""SELECT user_id, {_STATS} AS average_rating FROM positives
+    _CORES[f"users{_step}"] = f"""SELECT user_id, {_STATS} AS average_rating FROM positives
         WHERE item_id IN (SELECT item_id FROM items{_step}) GROUP BY user_id HAVING COUNT(*) >= {MIN_USER}"""
+GRAPH_SQL.update({name: _CORES[name] for name in ("items1", "users1", "items2", "users2")})
+CONVERGED_SQL = {**GRAPH_SQL, **_CORES}
 _WEIGHT = """CAST(CASE rating WHEN 5 THEN 1.0 WHEN 4 THEN 0.8 WHEN 3 THEN 0.5 WHEN 2 THEN 0.2 WHEN 1 THEN 0.1
     ELSE CASE WHEN is_read = 1 THEN 0.35 ELSE 0 END END AS FLOAT)"""
 _SIGNAL = "CAST(CASE rating WHEN 5 THEN 1.0 WHEN 4 THEN 0.65 WHEN 3 THEN 0.1 WHEN 2 THEN -0.5 WHEN 1 THEN -1.0 ELSE 0 END AS FLOAT)"
@@ -127,6 +133,22 @@ def kcore_filter(inp):
     return sides[0].unionByName(sides[1])
 
 
+@query(
+    "kcore_converged",
+    f"""SELECT 'item' AS side, item_id AS id, interaction_count, rating_count, ROUND(average_user_rating, 6) AS average
+    FROM items{CONVERGED} UNION ALL SELECT 'user', user_id, interaction_count, rating_count, ROUND(average_rating, 6)
+    FROM users{CONVERGED}""",
+    CONVERGED_SQL,
+)
+def kcore_converged(inp):
+    """Both sides of the core refined until it stays as it is."""
+    items, users = graph.kcore_filter(inp.view("interactions"), mapped(inp), MIN_ITEM, MIN_USER, until_converged=True)
+    side = lambda df, name: rounded(
+        df.select(F.lit(name).alias("side"), F.col(df.columns[0]).cast("bigint").alias("id"), "interaction_count", "rating_count",
+                  F.col(df.columns[3]).alias("average")), "average")
+    return side(items, "item").unionByName(side(users, "user"))
+
+
 @query("kcore_semi_join", "SELECT user_id, item_id, rating FROM positives WHERE item_id IN (SELECT item_id FROM items0)", GRAPH_SQL)
 def kcore_semi_join(inp):
     edges = graph.positive_interactions(inp.view("interactions"))

@@ -56,15 +56,15 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir() or folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared folder.
+def cut_lineage(df: DataFrame, *folders: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, in a folder for each value of the columns ``folders``.
 
     It survives the loss of any executor, is computed once (a checkpoint counts its rows first and computes them again for
     the files), and later steps read single columns and know its size. ``sweep`` removes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/lectern-stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     spark.sparkContext.__dict__.setdefault("_lectern_stages", []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -108,3 +108,44 @@ def test_als_takes_any_positive_alpha(spark, alpha):
     assert {r.user_id for r in users.collect()} == set(range(4)) and {r.item_id for r in items.collect()} == set(range(6))
     with pytest.raises(ValueError):
         collaborative.implicit_als(weak, 2, 2, alpha=0)
+
+
+def chain(length):
+    """Items and users in one long line: each refinement takes one from its end."""
+    return [(n, n, 4, 1) for n in range(length)] + [(n, n + 1, 2, 1) for n in range(length)] + [(length, length, 5, 1), (length, 500, 0, 1)]
+
+
+@pytest.mark.parametrize("options", [{"until_converged": True}, {"max_iter": 4}, {"max_iter": 3, "require_mapped": True}])
+@pytest.mark.parametrize("shape", ["chain", "dense", "empty"])
+def test_peeling_equals_recounting(spark, monkeypatch, options, shape):
+    monkeypatch.setattr(graph, "COMPACTED", 3)
+    rng = np.random.default_rng(8)
+    data, least = {
+        "chain": (chain(6), (2, 2)),
+        "dense": ([(int(a), int(b), int(r), 1) for a, b, r in zip(rng.integers(0, 60, 500), (rng.random(500) ** 2 * 60), rng.integers(0, 6, 500))], (8, 8)),
+        "empty": ([], (2, 2)),
+    }[shape]
+    df = spark.createDataFrame(data, "user_id int, book_id int, rating int, is_read int")
+    known = {i for i in range(60) if i % 7 != 3}
+    mapped = spark.createDataFrame([(i, i, i) for i in known], "item_id int, local_book_id long, work_id long")
+    got = [{r[0]: tuple(r)[1:] for r in side.collect()} for side in graph.kcore_filter(df, mapped, *least, **options)]
+    want = brute_core(data, known, *least, options.get("max_iter", 2), options.get("require_mapped", False), options.get("until_converged", False))
+    assert (set(got[0]), set(got[1])) == want
+    # counts and means are those of a fresh count
+    for user, row in got[1].items():
+        rated = [r for u, i, r, _ in data if u == user and i in want[0] and r > 0]
+        assert row[:2] == (sum(u == user and i in want[0] for u, i, _, _ in data), len(rated))
+        assert row[2] == (pytest.approx(sum(rated) / len(rated)) if rated else None)
+
+
+def test_peeling_reads_only_buckets_of_moved_nodes(spark):
+    edges = spark.createDataFrame([(u, u % 50, 3) for u in range(2000)], "user_id int, item_id int, rating int")
+    kept = graph._bucketed(edges, "user_id", "item_id")
+    moved = spark.createDataFrame([(7, -1), (8, -1)], "user_id int, sign int")
+    sent = graph._sent(kept, moved, "user_id", "item_id")
+    assert {tuple(r) for r in sent.collect()} == {(7, -1, -1, -3), (8, -1, -1, -3)}
+    read = {f.split("_bucket=")[1].split("/")[0] for f in kept.inputFiles()}
+    wanted = {r[0] for r in moved.select(graph._bucket("user_id")).collect()}
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert len(read) == graph.EDGE_BUCKETS and len(wanted) == 2 and "PartitionFilters: [_bucket" in plan
+    assert graph._sent(kept, moved.limit(0), "user_id", "item_id") is None
