@@ -165,7 +165,7 @@ def hybrid_lookup(inp):
 def implicit_als(inp):
     """Every user and item of the training rows, with the number of finite factors."""
     finite = F.size(F.filter("vector", lambda x: F.abs(x) < float("inf"))).alias("factors")
-    users, items = collaborative.implicit_als(training(inp))
+    users, items = collaborative.implicit_als(training(inp), scaled_reg=False)
     return users.select(F.col("user_id").cast("bigint").alias("id"), finite, F.lit("user").alias("side")).unionByName(
         items.select(F.col("item_id").cast("bigint").alias("id"), finite, F.lit("item").alias("side"))
     )
@@ -179,7 +179,7 @@ def implicit_als(inp):
 def als_factors(inp):
     """Items with their users, and whether their factors score those users above the average of all users."""
     rows = training(inp)
-    users, items = collaborative.implicit_als(rows)
+    users, items = collaborative.implicit_als(rows, scaled_reg=False)
     mean = users.select(F.posexplode("vector").alias("d", "x")).groupBy("d").agg(F.avg("x").alias("x"))
     mean = mean.agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"]).alias("mean"))
     score = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)

@@ -66,14 +66,29 @@ def cut_lineage(df: DataFrame, *folders: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/lectern-stage-{uuid.uuid4().hex}"
     df.write.partitionBy(*folders).parquet(path)
     spark.sparkContext.__dict__.setdefault("_lectern_stages", []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._lectern_path = path
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes tables of ``cut_lineage`` that nothing reads any more; None is passed over."""
+    for table in tables:
+        if table is not None:
+            spark = table.sparkSession
+            spark.sparkContext._lectern_stages.remove(table._lectern_path)
+            _delete(spark, table._lectern_path)
 
 
 def sweep(spark: SparkSession) -> None:
     """Removes the tables that ``cut_lineage`` has written; call it when their results have been read."""
     for path in spark.sparkContext.__dict__.pop("_lectern_stages", []):
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(spark, path)
 
 
 def ship_package(spark: SparkSession) -> None:

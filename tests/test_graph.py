@@ -149,3 +149,54 @@ def test_peeling_reads_only_buckets_of_moved_nodes(spark):
     plan = sent._jdf.queryExecution().executedPlan().toString()
     assert len(read) == graph.EDGE_BUCKETS and len(wanted) == 2 and "PartitionFilters: [_bucket" in plan
     assert graph._sent(kept, moved.limit(0), "user_id", "item_id") is None
+
+
+def dense_half_step(edges, fixed, at, reg, scaled):
+    """Normal equations of every node at position ``at`` of the (user, item, confidence) edges."""
+    k = len(next(iter(fixed.values())))
+    square = sum(np.outer(v, v) for v in fixed.values())
+    out = {}
+    for node in {e[at] for e in edges}:
+        seen = [(fixed[e[1 - at]], e[2]) for e in edges if e[at] == node]
+        left = square + sum((c - 1) * np.outer(v, v) for v, c in seen) + reg * (len(seen) if scaled else 1) * np.eye(k)
+        out[node] = np.linalg.solve(left, sum(c * v for v, c in seen))
+    return out
+
+
+@pytest.mark.parametrize("scaled", [True, False])
+@pytest.mark.parametrize("held", [1, 1000])
+def test_half_steps_equal_dense_algebra(spark, monkeypatch, scaled, held):
+    """A hot item, confidences below 1, ids beyond 2^31, rows that take no part."""
+    monkeypatch.setattr(collaborative, "HELD", held)
+    rng = np.random.default_rng(4)
+    wide = 5_000_000_000
+    data = [(wide + u, i * wide, float(w)) for u in range(120) for i, w in ((0, rng.choice([0.1, 0.5, 1.0])), *(
+        (int(j), rng.choice([0.01, 0.2, 0.8])) for j in rng.choice(np.arange(1, 30), 4, False)))]
+    rows = data + [(None, 1, 1.0), (1, None, 1.0), (77, 78, 0.0), (77, 78, None)]
+    training = spark.createDataFrame(rows, "user_id bigint, item_id bigint, interaction_weight double")
+    users, items = collaborative.implicit_als(training, 5, 2, 0.05, 2.0, scaled_reg=scaled)
+    x, y = ({r[0]: np.array(r["vector"]) for r in t.collect()} for t in (users, items))
+    assert set(x) == {d[0] for d in data} and set(y) == {d[1] for d in data}
+    edges = [(u, i, 2.0 * w) for u, i, w in data]
+    for node, vector in dense_half_step(edges, x, 1, 0.05, scaled).items():
+        assert np.abs(vector - y[node]).max() < 1e-6
+    # stored item factors give the factors of users who weren't there
+    fresh = [(9, i, 2.0 * w) for _, i, w in data[:3]]
+    folded = collaborative.als_factors(
+        spark.createDataFrame(fresh, "user_id bigint, item_id bigint, confidence double"), items, reg=0.05, scaled_reg=scaled
+    ).collect()
+    assert np.abs(dense_half_step(fresh, y, 0, 0.05, scaled)[9] - np.array(folded[0]["vector"])).max() < 1e-6
+
+
+def test_hot_nodes_are_added_up_before_they_move(spark):
+    rows = [(0 if n % 3 else n, 1.0 + n % 2, [1.0, float(n % 5)]) for n in range(3000)]
+    joined = spark.createDataFrame(rows, "item_id long, confidence double, vector array<double>").coalesce(2)
+    sums = collaborative._sums(joined, "item_id", "bigint", 2).collect()
+    hot = [r for r in sums if r["item_id"] == 0 and r["sums"] is not None]
+    assert len(hot) <= 2 and sum(r["sums"][-1] for r in hot) + sum(r["item_id"] == 0 and r["sums"] is None for r in sums) == 2001
+    assert sum(r["sums"] is None for r in sums) >= 999
+
+
+def test_als_of_nothing(spark):
+    none = spark.createDataFrame([], "user_id bigint, item_id bigint, interaction_weight float")
+    assert [t.count() for t in collaborative.implicit_als(none, 3, 2)] == [0, 0]
