@@ -200,3 +200,17 @@ def test_hot_nodes_are_added_up_before_they_move(spark):
 def test_als_of_nothing(spark):
     none = spark.createDataFrame([], "user_id bigint, item_id bigint, interaction_weight float")
     assert [t.count() for t in collaborative.implicit_als(none, 3, 2)] == [0, 0]
+
+
+def test_half_steps_spread_their_edges_and_send_no_null_arrays(spark):
+    edges = spark.createDataFrame([(u, i, 2.0) for u in range(9) for i in range(u + 1)], "user_id long, item_id long, confidence double")
+    fixed = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(9)], "item_id long, vector array<double>")
+    step = collaborative.als_factors(edges, fixed, width=2)
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    tasks = collaborative.TASKS * spark.sparkContext.defaultParallelism
+    assert "hashpartitioning(item_id" in plan and f", {tasks}), REPARTITION_BY_NUM" in plan
+    assert plan.count("coalesce(vector") == plan.count("coalesce(sums") == 1
+    y = {i: np.array([1.0, float(i)]) for i in range(9)}
+    want = dense_half_step([(u, i, 2.0) for u in range(9) for i in range(u + 1)], y, 0, 0.05, True)
+    got = {r[0]: np.array(r["vector"]) for r in step.collect()}
+    assert set(got) == set(want) and all(np.abs(got[u] - want[u]).max() < 1e-9 for u in want)
