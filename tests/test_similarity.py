@@ -109,3 +109,35 @@ def test_search_in_balls_equals_brute_force(spark, extra):
     for u in range(20):
         best = sorted(range(400), key=lambda i: (-cosine[u, i], i))[: 4 + (u % 3 if extra else 0)]
         assert [i for _, i in sorted(lists[u])] == best
+
+
+def test_block_product_holds_few_similarities():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    left, right = np.round(rng.standard_normal((1500, 4)), 1), np.round(rng.standard_normal((20_000, 4)), 1)
+    queries = pa.table({"query": np.arange(1500), "wanted": np.where(np.arange(1500) % 7, 3, 30), "vector": list(left)})
+    items = pa.table({"item": np.arange(20_000)[::-1], "vector": list(right)})
+    tracemalloc.start()
+    found = sim._score_block("query", "item")(queries, items).to_pandas()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # 512 queries at once took over 200 MB
+    for q in range(0, 1500, 97):
+        scores = np.round(left[q] @ right.T, sim.DECIMALS)
+        order = np.lexsort((items["item"].to_numpy(), -scores))[: 3 if q % 7 else 30]
+        got = found[found["query"] == q]
+        assert got["item"].tolist() == items["item"].to_numpy()[order].tolist() and got["similarity"].tolist() == scores[order].tolist()
+
+
+def test_query_blocks_are_sized_by_their_answers(spark, monkeypatch):
+    monkeypatch.setattr(sim, "ANSWERS", 50)
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((40, 3)))]
+    items = spark.createDataFrame(rows, "book_id long, vector array<double>")
+    queries = items.withColumnRenamed("book_id", "user_id")
+    found = sim.knn_topk(queries, items, 20)
+    assert ", 16), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()  # 40 x 20 answers by 50
+    assert found.count() == 800
