@@ -89,6 +89,13 @@ def test_svd_matches_dense(spark):
         svd.truncated_svd(weights, 20, 20)
 
 
+def test_texts_move_once(spark, docs):
+    """From the texts to packed rows the plan has one exchange by document, of tokens, and none of terms."""
+    model, _ = content.tfidf_fit_transform(docs, 100, 1, 1.0)
+    packed = svd.sparse_rows(content.tfidf_transform(model, docs))
+    assert packed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_density(docs):
     model, weights = content.tfidf_fit_transform(docs, 100, 1, 1.0)
     row = content.matrix_density(weights, 4, model.vocabulary.count()).first()
