@@ -89,6 +89,26 @@ def test_svd_matches_dense(spark):
         svd.truncated_svd(weights, 20, 20)
 
 
+def test_svd_sums_once_a_core(spark, monkeypatch):
+    """However many files the rows have, there are as many sums of the basis' size as cores; blocks of any size give them."""
+    rng = np.random.default_rng(2)
+    dense = rng.random((90, 12)) * (rng.random((90, 12)) < 0.5)
+    rows = spark.createDataFrame(
+        [(np.flatnonzero(r).tolist(), r[r > 0].tolist()) for r in dense], "terms array<int>, weights array<double>").repartition(40)
+    basis = rng.standard_normal((12, 3))
+    shared = spark.sparkContext.broadcast(basis)
+    assert svd._partial_sums(rows, shared).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert svd._pass(rows, basis) == pytest.approx(dense.T @ (dense @ basis), abs=1e-9)
+    batch = rows.toArrow().combine_chunks().to_batches()[0]
+    for cells in (1, 30, 1 << 20):
+        monkeypatch.setattr(svd, "CELLS", cells)
+        held = np.zeros((90, 12))
+        for part, seen, block in svd._blocks(batch, 12):
+            assert block.size <= max(cells, 12)
+            held[part][:, seen] = block
+        assert sorted(map(tuple, held.round(9))) == sorted(map(tuple, dense.round(9)))
+
+
 def test_texts_move_once(spark, docs):
     """From the texts to packed rows the plan has one exchange by document, of tokens, and none of terms."""
     model, _ = content.tfidf_fit_transform(docs, 100, 1, 1.0)
