@@ -17,7 +17,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    """Of each group of near duplicates (fingerprints and MinHash of five-word shingles, then similarity 0.8) the document with the smallest id stays."""
     return simhash.drop_near_duplicates(docs)
 
 

@@ -1,6 +1,8 @@
-"""Near duplicates by the exact Jaccard similarity of shingle sets, with candidates from banded MinHash.
+"""Near duplicates by the exact Jaccard similarity of shingle sets, with candidates from SimHash fingerprints and banded MinHash.
 
-A document is its set of shingle hashes (64 bits); equal sets are one node. ``BANDS`` keys of ``ROWS`` minima each make the
+A document is its set of shingle hashes (64 bits); equal sets are one node. Sets whose fingerprints are joined by steps of up to
+``RADIUS`` bits (probed and verified by ``simhash``) have a key in common, and so are candidates. At a similarity of 0.8
+fingerprints differ in about ten bits, more than probes can reach, so there are keys for the rest as well: ``BANDS`` keys of ``ROWS`` minima each make the
 candidates: a pair of similarity J shares a key with the chance 1 - (1 - J**ROWS)**BANDS, 0.99997 at 0.8, and every document
 has as many keys whatever the size of the corpus. No pair is linked before its two sets were compared.
 
@@ -22,9 +24,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.common import forget, prepare, released, store, text_rows
 from lectern.llm.components import connected_components
-from lectern.llm.simhash import shingle_hashes
+from lectern.llm.simhash import links as fingerprint_links, majority, shingle_hashes
 
 BANDS, ROWS = 20, 4
+#: Bits that fingerprints of candidates may differ in.
+RADIUS = 3
 #: Shingles hashed at a time for the minima.
 BLOCK = 1 << 12
 #: Members and bytes of sets of a block of a bucket.
@@ -56,20 +60,22 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def _prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, row, node, n, keys) of every row; row is a hash of the text, node a 64-bit digest of its set."""
+    """(id, row, node, n, keys, fp0) of every row; row is a hash of the text, node a 64-bit digest of its set, fp0 the set's
+    fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, shingle) for t in text_rows(batch.column(1))]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
             keys = pa.array([band_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            marks = np.array([majority(s)[0] for s in sets], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), keys],
-                ["id", "row", "node", "n", "keys"])
+                [batch.column(0), batch.column(2), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), keys, pa.array(marks)],
+                ["id", "row", "node", "n", "keys", "fp0"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return _rows(docs, text_col, F.col(id_col).alias("id")).mapInArrow(
-        lambda batches: released(run(batches)), f"id {kind}, row bigint, node bigint, n bigint, keys array<bigint>")
+        lambda batches: released(run(batches)), f"id {kind}, row bigint, node bigint, n bigint, keys array<bigint>, fp0 bigint")
 
 
 def _rows(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
@@ -182,14 +188,33 @@ def _texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     return store(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
+def minhash_keys(nodes: DataFrame) -> DataFrame:
+    """(node, n, key) with a key for each band."""
+    return nodes.select("node", "n", F.explode("keys").alias("key"))
+
+
+def fingerprint_keys(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(node, n, key), the key of the fingerprint's component: fingerprints joined by steps of up to ``RADIUS`` bits share it.
+
+    A set of n members has at most n / (n + 1) in common with another; sets too small for the similarity need no key.
+    """
+    nodes = nodes.where(F.col("n") * (1 - similarity) >= similarity - 1e-6)
+    marks = store(nodes.select("fp0").distinct(), "marks")
+    labels = connected_components(fingerprint_links(marks, RADIUS)).withColumnRenamed("node", "fp0")
+    group = F.xxhash64(F.lit("fingerprint"), F.coalesce("component", "fp0"))
+    return nodes.join(labels, "fp0", "left").select("node", "n", group.alias("key"))
+
+
 def components(prints: DataFrame, docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
     """(node, first): for each node of ``prints`` the smallest id of its component; docs has the texts."""
     spark = prints.sparkSession
     nodes = store(prints.groupBy("node").agg(
-        F.min("id").alias("least"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
-    probes = nodes.select("node", "n", F.explode("keys").alias("key"))
+        F.min("id").alias("least"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"),
+        F.first("fp0").alias("fp0")), "nodes")
+    probes = store(fingerprint_keys(nodes, similarity).unionByName(minhash_keys(nodes)), "probes")
     sizes = probes.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = store(probes.join(sizes, "key").select("key", "node", "n", "size"), "members")
+    forget(spark, probes)
     weight = store(members.groupBy("node").agg(F.sum("size").alias("weight")).join(nodes.select("node", "row"), "node"), "weights")
     texts = _texts(docs, text_col, weight.select("node", "row"))
     heads = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("head"))

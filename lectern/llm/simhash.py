@@ -64,7 +64,11 @@ def shingle_hashes(tokens: list[bytes], shingle: int) -> np.ndarray:
 
 def fingerprint(text: bytes, shingle: int = 3, words: int = 1) -> list[int]:
     """``words`` times 64 bits: a bit is 1 if more than half of the shingles' hashes have it."""
-    hashes = shingle_hashes(text.lower().split(), shingle)
+    return majority(shingle_hashes(text.lower().split(), shingle), words)
+
+
+def majority(hashes: np.ndarray, words: int = 1) -> list[int]:
+    """``words`` times 64 bits: a bit is 1 if more than half of the hashes have it; zero without any."""
     if not len(hashes):
         return [0] * words
     counts = np.zeros((words, BITS), dtype=np.int64)
@@ -361,7 +365,7 @@ def drop_near_duplicates(
     """The rows whose id is the smallest of their component (of repeated rows with that id, all), with all columns.
 
     Links are pairs whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, compared exactly (``jaccard``);
-    fingerprints take no part. Rows with a null id stay; a null text is empty, and empty texts are equal. An empty table gives no
+    fingerprints within three bits and MinHash keys say what is compared. Rows with a null id stay; a null text is empty, and empty texts are equal. An empty table gives no
     rows.
     """
     from lectern.llm import jaccard

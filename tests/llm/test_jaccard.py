@@ -96,3 +96,20 @@ def test_band_keys_find_what_the_formula_says():
             a, b = np.sort(x[:both + (300 - both) // 2]), np.sort(np.append(x[:both], x[both + (300 - both) // 2:]))
             found += bool((jaccard.band_keys(a) == jaccard.band_keys(b)).any())
         assert abs(found / 1000 - (1 - (1 - j**jaccard.ROWS) ** jaccard.BANDS)) < 0.05
+
+
+def test_fingerprints_make_candidates(spark, monkeypatch):
+    """Without any MinHash key, copies whose fingerprints are within three bits are still found, and compared exactly."""
+    rng, rows = random.Random(7), []
+    for i in range(60):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        rows += [(i, " ".join(text)), (1000 + i, " ".join(text[:-1] + ["other"]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(jaccard, "minhash_keys", lambda nodes: nodes.select("node", "n", "fp0").toDF("node", "n", "key").limit(0))
+    prints = {}
+    for d, t in rows:
+        prints[d] = simhash.majority(jaccard.shingle_set(t.encode(), 5))[0]
+    near = {i for i in range(60) if (prints[i] ^ prints[1000 + i]).bit_count() <= jaccard.RADIUS}
+    found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert len(near) > 40 and all(found[1000 + i] == i for i in near)
+    assert all(found[1000 + i] == 1000 + i for i in set(range(60)) - near)
