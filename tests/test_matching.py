@@ -175,3 +175,15 @@ def test_exact_titles_beyond_the_limit(spark):
     asked = spark.createDataFrame([(1, "common", "Nobody Known", None)], "input_id int, title string, author string, isbn string")
     got = ops.local_match(asked, catalog, ["input_id"], limit=3).collect()
     assert [(r.book_id, r.score) for r in got] == [(99, 100.0)]
+
+
+def test_candidates_move_once_to_their_scores(spark):
+    """Candidates are neither stored nor sent to meet their scores: the plan reads them once and deals them by their titles."""
+    catalog = spark.createDataFrame([(1, "The Red Cat", "A B"), (2, "Red Cat", "A B"), (3, "Red Cat", None)], "book_id bigint, title string, primary_author string")
+    candidates = spark.createDataFrame(
+        [("red cat", "a b", 1), ("red cat", "a b", 2), ("red cat", "", 3), ("red cat", "", 2)], "q_title string, q_author string, book_id bigint")
+    scored = ops.score_candidates(candidates, catalog)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 1 and "parquet" not in plan
+    got = {(r.q_author, r.book_id): round(r.score, 6) for r in scored.collect()}
+    assert got == {("a b", 1): 100.0, ("a b", 2): 100.0, ("", 3): 100.0, ("", 2): 100.0}
