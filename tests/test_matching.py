@@ -187,3 +187,24 @@ def test_candidates_move_once_to_their_scores(spark):
     assert plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 1 and "parquet" not in plan
     got = {(r.q_author, r.book_id): round(r.score, 6) for r in scored.collect()}
     assert got == {("a b", 1): 100.0, ("a b", 2): 100.0, ("", 3): 100.0, ("", 2): 100.0}
+
+
+def test_matching_reads_each_side_once(spark):
+    """Inputs and catalog are computed once, however many steps of the match read them."""
+    counts = [spark.sparkContext.accumulator(0) for _ in range(2)]
+
+    def counted(total):
+        def keep(text):
+            total.add(1)
+            return text
+        return F.udf(keep, "string")
+
+    catalog = spark.createDataFrame(
+        [(i, i, f"Title number {i}", f"Author {i % 3}", True, f"{i:010d}", None, "d", 1999, "g", i, 1.0, None) for i in range(40)],
+        "book_id bigint, work_id bigint, title string, primary_author string, is_canonical_edition boolean, isbn string, isbn13 string, "
+        "description string, publication_year int, primary_genre string, ratings_count bigint, bayesian_rating double, image_url string")
+    asked = spark.createDataFrame([(i, f"Title numbr {i}", "Author 1", None) for i in range(30)], "input_id bigint, title string, author string, isbn string")
+    catalog = catalog.withColumn("title", counted(counts[1])("title"))
+    asked = asked.withColumn("title", counted(counts[0])("title"))
+    assert ops.match_books(asked, catalog, ["input_id"]).count() == 30
+    assert [c.value for c in counts] == [30, 40]
