@@ -31,3 +31,13 @@ def test_pairs_like_all_pairs(spark, monkeypatch, blocks):
     assert "vector" not in " ".join(pairs.columns)
     assert pairs.count() == sum((u, b, c) in want for u, _, b in recs for w, _, c in rows if u is not None and u == w)
     assert ex.similar_books(rec_df.limit(0), row_df, content).count() == 0
+
+
+def test_vectors_move_as_they_are_given(spark):
+    content = spark.createDataFrame(
+        [(1, [3.0, 4.0]), (2, [4.0, 3.0]), (3, None), (4, [float("inf"), 1.0]), (5, [0.0, 0.0])], "book_id long, vector array<float>")
+    recs = spark.createDataFrame([(1, 1), (1, 3), (1, 4), (1, 5)], "user_id int, book_id long")
+    rows = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (1, 5), (2, 2)], "user_id int, local_book_id long")
+    found = ex.similar_books(recs, rows, content)
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.user_id, r.book_id, r.local_book_id, round(r.content_similarity, 9)) for r in found.collect()] == [(1, 1, 2, 0.96)]

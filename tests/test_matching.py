@@ -208,3 +208,11 @@ def test_matching_reads_each_side_once(spark):
     asked = asked.withColumn("title", counted(counts[0])("title"))
     assert ops.match_books(asked, catalog, ["input_id"]).count() == 30
     assert [c.value for c in counts] == [30, 40]
+
+
+def test_candidates_move_without_their_texts(shelf, inputs):
+    _, catalog = shelf
+    found = ops.blocked_fuzzy_join(ops.match_requests(inputs[1]), catalog, 7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(q_title" not in plan and "hashpartitioning(_request" in plan
+    assert "_request" not in found.columns

@@ -220,3 +220,18 @@ def test_added_date_stands_in_for_the_reading_date(spark):
                                  "library_row_id int, preference_weight double, date_read string, date_added string")
     got = {r.library_row_id: round(r.recency_multiplier, 6) for r in prof.profile_rows(rows, "2024-01-31", 30.0).collect()}
     assert got == {1: 0.5, 2: 1.0, 3: 1.0}
+
+
+def test_known_books_leave_in_one_exchange(spark):
+    """By book and by work, with nulls on both sides and repeated rows; what follows by user needs no other exchange."""
+    candidates = [(1, 10, 5), (1, 10, 5), (1, 11, 5), (1, 12, None), (1, 13, 6), (2, 10, 5), (2, None, 6), (None, 10, 5), (3, 14, None), (3, None, None)]
+    known = [(1, 10, None), (1, None, 6), (2, 99, 6), (None, 10, 5), (3, None, None), (3, 15, 7), (3, 15, 7)]
+    rows = spark.createDataFrame(candidates, "user_id long, book_id long, work_id long").withColumn("hybrid_similarity", F.lit(0.5))
+    gone = spark.createDataFrame(known, "user_id int, local_book_id long, work_id long")
+    by_work = rec.exclusion_anti_join(rows, gone)
+    kept = lambda df: sorted(((r.user_id, r.book_id, r.work_id) for r in df.collect()), key=str)
+    want = [(1, 11, 5), (1, 12, None), (2, 10, 5), (None, 10, 5), (3, 14, None), (3, None, None)]
+    assert kept(by_work) == sorted(want, key=str) and by_work.dtypes == rows.dtypes
+    assert kept(rec.exclusion_anti_join(rows, gone, by_work=False)) == sorted([*want, (1, 13, 6), (2, None, 6)], key=str)
+    ranked = rec.author_cap(rec.rerank_minmax(by_work.withColumn("primary_author", F.lit("a"))), max_per_author=1)
+    assert ranked._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(") == 1

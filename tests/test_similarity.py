@@ -141,3 +141,58 @@ def test_query_blocks_are_sized_by_their_answers(spark, monkeypatch):
     found = sim.knn_topk(queries, items, 20)
     assert ", 16), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()  # 40 x 20 answers by 50
     assert found.count() == 800
+
+
+def test_items_pass_by_a_query_block():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    asked, k, batches, rows = np.round(rng.standard_normal((600, 8)), 2), 30, 40, 5000
+    homes = [[0, 2] if q % 3 else [1] for q in range(600)]
+    floors = [None if q % 2 else -1.0 for q in range(600)]
+    made = lambda n: np.round(np.random.default_rng(100 + n).standard_normal((rows, 8)), 2)
+    ball = lambda n: 3 * n // batches
+
+    def form(n, is_item, queries, items, wanted, floor, balls, own, vectors):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([7] * n), pa.array([is_item] * n), pa.array([own] * n, pa.int32()), pa.array(queries, pa.int64()), pa.array(items, pa.int64()),
+             pa.array(wanted, pa.int64()), pa.array(floor, pa.float64()), pa.array(balls, pa.list_(pa.int32())),
+             pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 8).cast(pa.list_(pa.float64()))],
+            names=["pair", "is_item", "ball", "query", "item", "wanted", "floor", "balls", "vector"])
+
+    def stream():
+        yield form(600, False, list(range(600)), [None] * 600, [k] * 600, floors, homes, -1, asked)
+        for n in range(batches):
+            none = [None] * rows
+            yield form(rows, True, none, list(range(n * rows, (n + 1) * rows)), none, none, none, ball(n), made(n))
+
+    tracemalloc.start()
+    found = pa.Table.from_batches(sim._score_pairs("query", "item")(stream())).to_pandas()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # the scores of all pairs would be 960 MB; an answer a query and batch 24 MB
+    assert peak < 80 << 20 and len(found) == 600 * k
+    vectors, of = np.vstack([made(n) for n in range(batches)]), np.repeat([ball(n) for n in range(batches)], rows)
+    for q in range(0, 600, 41):
+        open_ = np.flatnonzero(np.isin(of, homes[q]))
+        scores = np.round(vectors[open_] @ asked[q], sim.DECIMALS)
+        want = open_[np.lexsort((open_, -scores))[:k]]
+        assert found[found["query"] == q]["item"].tolist() == want.tolist()
+
+
+def test_a_query_answers_once_for_a_stripe(spark):
+    """Without structure every ball is visited; the answers are those of two searches, not of every ball."""
+    rng = np.random.default_rng(13)
+    vectors = rng.standard_normal((600, 16))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "book_id long, vector array<double>")
+    queries = items.where("book_id < 40").withColumnRenamed("book_id", "user_id")
+    found = sim.knn_topk(queries, items, 5, item_block=30)
+    kept = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in kept and "FlatMapCoGroupsInArrow" not in kept
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    cosine = np.round(unit[:40] @ unit.T, 9)
+    got = {(r["user_id"], r["rank"]): r["book_id"] for r in found.collect()}
+    assert got == {(u, n + 1): b for u in range(40) for n, b in enumerate(sorted(range(600), key=lambda i: (-cosine[u, i], i))[:5])}
+    assert found.select("user_id").count() == 200
