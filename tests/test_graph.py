@@ -100,6 +100,27 @@ def test_als_solves_its_normal_equations(spark):
         assert np.abs(left @ vector - right).max() < 1e-3
 
 
+def test_maps_gate_counts_both_ways(spark):
+    ids = spark.createDataFrame([(1,), (1,), (2,), (3,)], "user_id int")
+    gate = lambda rows: quality.q_maps(ids, spark.createDataFrame(rows, "user_id int, vector array<double>"), "user_id").first()
+    good = [(1, [0.5, 1.0]), (2, [0.0, 0.0]), (3, [1.0, 2.0])]
+    assert gate(good)["passed"]
+    for rows in (good[:2], [*good, (4, [1.0, 1.0])], [*good, good[0]], [*good[:2], (3, None)], [*good[:2], (3, [1.0, float("nan")])]):
+        assert gate(rows)["observed"] == 1 and not gate(rows)["passed"]
+
+
+def test_maps_query_gates_users_and_items(spark, monkeypatch):
+    from lectern.plans import source_queries
+
+    rows = spark.createDataFrame([(u, i, 0.5) for u in range(4) for i in range(3)], "user_id int, item_id int, interaction_weight float")
+    whole = collaborative.implicit_als
+    short = lambda *a, **k: (lambda users, items: (users.where("user_id > 0"), items))(*whole(*a, factors=2, iterations=1, **k))
+    monkeypatch.setattr(source_queries, "training", lambda inp: rows)
+    monkeypatch.setattr(collaborative, "implicit_als", short)
+    found = source_queries.q_maps(None).collect()
+    assert [r["observed"] for r in found] == [1.0, 0.0] and [r["passed"] for r in found] == [False, True]
+
+
 @pytest.mark.parametrize("alpha", [0.5, 5.0, 40.0])
 def test_als_takes_any_positive_alpha(spark, alpha):
     rows = [(u, i, w) for u in range(4) for i, w in ((u, 0.01), (u + 1, 1.0), (u + 2, 0.1))]
