@@ -41,3 +41,20 @@ def test_vectors_move_as_they_are_given(spark):
     found = ex.similar_books(recs, rows, content)
     assert "ArrowEvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.user_id, r.book_id, r.local_book_id, round(r.content_similarity, 9)) for r in found.collect()] == [(1, 1, 2, 0.96)]
+
+
+def test_short_explanation_cites_the_selected_books(spark, monkeypatch):
+    from lectern.plans import personal_queries as plans
+
+    content = spark.createDataFrame([(b, [1.0, b / 10]) for b in range(6)], "book_id long, vector array<double>")
+    told = [(1, 1, 0, "t", "a", "g", 0.9), (2, 1, 0, "t", "a", "g", 0.9)]
+    recs = spark.createDataFrame(told, "user_id int, rank int, book_id long, title string, primary_author string, primary_genre string, hybrid_similarity double")
+    rows = [(1, b, b, 1.0, f"book {b}", f"writer {b}", f"book {b}", f"writer {b}", "h", 5) for b in (1, 2, 3)]
+    pool = spark.createDataFrame(
+        rows, "user_id int, library_row_id long, local_book_id long, explanation_weight double, input_title string, input_author string, "
+        "matched_title string, matched_author string, matched_primary_genre string, my_rating int")
+    for name, made in (("recommended", recs), ("pool", pool), ("content_space", content)):
+        monkeypatch.setattr(plans, name, lambda inp, made=made: made)
+    found = {r["user_id"]: r["short_explanation"] for r in plans.short_explanation(None).collect()}
+    assert found == {
+        1: "Related to book 1 by writer 1 and book 2 by writer 2 (content similarities: 1.00, 0.98)", 2: "Strong hybrid match in g"}
